@@ -168,7 +168,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey AS transaction_id",
         "l_linenumber AS line_no",
         "l_suppkey AS merchant_id",
-        "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,2)) AS amount",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS amount",
         "CAST(l_shipdate AS DATE) AS txn_date",
         "l_returnflag = 'R' AS is_returned",
     )

@@ -6,6 +6,7 @@ columns so that any SQL engine can be compared with them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from tidemark.operators import (
 )
 from tidemark.plans import gold, roles, scd2, scorecard, silver
 from tidemark.session import scratch_path
+from tidemark.sources import landing, tables
+from tidemark.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -671,20 +674,21 @@ def scd2_merged(spark, d):
 
 
 def _customer_history(spark, d):
-    nation, region = roles.read(spark, d, "nation"), roles.read(spark, d, "region")
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    observed = roles.customers(spark, d).join(places, F.col("nation_key") == F.col("n_nationkey"), "left").select(
-        "customer_id", "full_name", "segment", "risk_band", "kyc_status",
-        F.col("n_name").alias("country"), F.col("r_name").alias("region"), "last_updated_ts")
+    """Two observations per customer: everyone was pending thirty days before the last update."""
+    observed = roles.customers(spark, d).select(
+        "customer_id", "full_name", "segment", "risk_band", "kyc_status", "nation_key", "last_updated_ts")
     earlier = observed.withColumns({
         "kyc_status": F.lit("pending"), "last_updated_ts": F.col("last_updated_ts") - F.expr("interval 30 days")})
     return scd2.scd2(earlier.unionByName(observed), "customer_id",
-                     ["full_name", "segment", "risk_band", "kyc_status", "country", "region"], "last_updated_ts")
+                     ["full_name", "segment", "risk_band", "kyc_status", "nation_key"], "last_updated_ts")
 
 
 @query
 def dim_customer(spark, d):
-    return gold.dim_customer(_customer_history(spark, d))
+    nation, region = roles.read(spark, d, "nation"), roles.read(spark, d, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("country"), F.col("r_name").alias("region"))
+    return gold.dim_customer(_customer_history(spark, d)).join(places, "nation_key", "left").drop("nation_key")
 
 
 @query
@@ -721,3 +725,101 @@ def merchant_performance_daily(spark, d):
 @query
 def channel_volume_trends(spark, d):
     return gold.channel_volume_trends(gold.fact_transactions(_enriched(spark, d)))
+
+
+# ---- landing files and raw tables ------------------------------------------------------------
+# These write below the shared folder first, because ingestion is about files.
+
+_RUN = "registry-run"
+
+
+def _dated(landed, spark, d):
+    """Landed text rows with the time by which their files are laid out."""
+    when = roles.transactions(spark, d).select(
+        F.col("transaction_id").cast("string").alias("transaction_id"), F.col("txn_timestamp").alias("_at"))
+    return landed.join(when, "transaction_id")
+
+
+def _land(spark, d, root):
+    """All four datasets as landing files."""
+    landing.write_csv(roles.customers_landed(spark, d), f"{root}/customers/full_load", files=2)
+    landing.write_csv(roles.merchants_landed(spark, d), f"{root}/merchants/full_load")
+    txns = _dated(roles.transactions_landed(spark, d), spark, d).withColumnRenamed("txn_date", "_txn_date")
+    calendar.with_calendar(txns, "_at").drop("txn_date", "_at").withColumnRenamed("_txn_date", "txn_date").hint(
+        "rebalance", "txn_year", "txn_month").write.option("header", True).partitionBy(
+        "txn_year", "txn_month").csv(f"{root}/transactions")
+    sessions = roles.device_session_logs(spark, d).withColumns({
+        "session_id": F.col("session_id").cast("string"), "customer_id": F.col("customer_id").cast("string")})
+    landing.write_daily_json(sessions, "event_timestamp", f"{root}/device_session_logs")
+
+
+def _ingested(spark, d):
+    root = scratch_path(spark, "lake")
+    cfg = config.Config("dev", f"{root}/landing", f"{root}/lake")
+    _land(spark, d, cfg.landing_root)
+    status = ingest.ingest_all(spark, cfg, _RUN)
+    return cfg, status
+
+
+@query
+def scan_csv_roundtrip(spark, d):
+    path = scratch_path(spark, "csv")
+    landing.write_partitioned_csv(
+        roles.transactions(spark, d).select("transaction_id", "customer_id", "channel", "txn_timestamp"),
+        "txn_timestamp", path)
+    return landing.read_landing_csv(spark, path).select("transaction_id", "customer_id", "channel", "txn_date")
+
+
+@query
+def scan_json_roundtrip(spark, d):
+    path = scratch_path(spark, "json")
+    sessions = roles.device_session_logs(spark, d).withColumns({
+        "session_id": F.col("session_id").cast("string"), "customer_id": F.col("customer_id").cast("string")})
+    landing.write_daily_json(sessions, "event_timestamp", path)
+    read = landing.read_landing_json(spark, path, config.DEVICE_LOGS_SCHEMA)
+    return nested.flatten_structs(read.drop("event_timestamp"), roles.GEO_FIELDS)
+
+
+@query
+def ingest_status(spark, d):
+    cfg, status = _ingested(spark, d)
+    counts = [ingest.bronze(spark, spec, cfg).agg(F.count(F.lit(1)).alias("total_rows")).select(
+        F.lit(spec.name).alias("dataset"), "total_rows") for spec in cfg.specs]
+    total = counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    return status.join(total, "dataset").select("dataset", "status", "total_rows")
+
+
+@query
+def ingest_transactions(spark, d):
+    cfg, _ = _ingested(spark, d)
+    return ingest.bronze(spark, cfg.specs[2], cfg).select(
+        "transaction_id", "customer_id", "amount", "txn_date", "_partition_date", "_pipeline_run_id",
+        "_rescued_data")
+
+
+@query
+def ingest_sessions(spark, d):
+    cfg, _ = _ingested(spark, d)
+    return nested.flatten_structs(ingest.bronze(spark, cfg.specs[3], cfg), roles.GEO_FIELDS).select(
+        "session_id", "customer_id", "lat", "long", "city", "accuracy_m", "os", "app_version",
+        "_rescued_data")
+
+
+@query
+def audit_cols(spark, d):
+    """Rows per run with how many carry a file name and an ingestion time."""
+    cfg, _ = _ingested(spark, d)
+    raw = ingest.bronze(spark, cfg.specs[0], cfg)
+    return raw.groupBy("_pipeline_run_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_source_file").endswith(".csv")).alias("with_file"),
+        F.count("_ingested_at").alias("with_time"))
+
+
+@query
+def table_roundtrip(spark, d):
+    """A managed table written over itself: the second write replaces the first."""
+    name = f"tidemark_{uuid.uuid4().hex[:8]}.merchants"
+    tables.write_table(roles.merchants(spark, d).limit(1), name)
+    tables.write_table(gold.dim_merchant(roles.merchants(spark, d)), name)
+    return tables.read_table(spark, name)
