@@ -740,25 +740,31 @@ def _dated(landed, spark, d):
     return landed.join(when, "transaction_id")
 
 
-def _land(spark, d, root):
-    """All four datasets as landing files."""
-    landing.write_csv(roles.customers_landed(spark, d), f"{root}/customers/full_load", files=2)
-    landing.write_csv(roles.merchants_landed(spark, d), f"{root}/merchants/full_load")
-    txns = _dated(roles.transactions_landed(spark, d), spark, d).withColumnRenamed("txn_date", "_txn_date")
-    calendar.with_calendar(txns, "_at").drop("txn_date", "_at").withColumnRenamed("_txn_date", "txn_date").hint(
-        "rebalance", "txn_year", "txn_month").write.option("header", True).partitionBy(
-        "txn_year", "txn_month").csv(f"{root}/transactions")
-    sessions = roles.device_session_logs(spark, d).withColumns({
-        "session_id": F.col("session_id").cast("string"), "customer_id": F.col("customer_id").cast("string")})
-    landing.write_daily_json(sessions, "event_timestamp", f"{root}/device_session_logs")
-
-
-def _ingested(spark, d):
+def _land(spark, d, root, names):
+    """Datasets as landing files."""
+    if "customers" in names:
+        landing.write_csv(roles.customers_landed(spark, d), f"{root}/customers/full_load", files=2)
+    if "merchants" in names:
+        landing.write_csv(roles.merchants_landed(spark, d), f"{root}/merchants/full_load")
+    if "transactions" in names:
+        txns = _dated(roles.transactions_landed(spark, d), spark, d).withColumnRenamed("txn_date", "_txn_date")
+        (calendar.with_calendar(txns, "_at").drop("txn_date", "_at").withColumnRenamed("_txn_date", "txn_date")
+         .hint("rebalance", "txn_year", "txn_month").write.option("header", True)
+         .partitionBy("txn_year", "txn_month").csv(f"{root}/transactions"))
+    if "device_session_logs" in names:
+        sessions = roles.device_session_logs(spark, d).withColumns({
+            "session_id": F.col("session_id").cast("string"), "customer_id": F.col("customer_id").cast("string")})
+        landing.write_daily_json(sessions, "event_timestamp", f"{root}/device_session_logs")
+
+
+def _ingested(spark, d, *names):
+    """(configuration, status, raw table of the last named dataset) after landing and ingesting."""
     root = scratch_path(spark, "lake")
-    cfg = config.Config("dev", f"{root}/landing", f"{root}/lake")
-    _land(spark, d, cfg.landing_root)
+    specs = tuple(s for s in config.default_specs(f"{root}/landing") if s.name in names)
+    cfg = config.Config("dev", f"{root}/landing", f"{root}/lake", specs=specs)
+    _land(spark, d, cfg.landing_root, names)
     status = ingest.ingest_all(spark, cfg, _RUN)
-    return cfg, status
+    return cfg, status, ingest.bronze(spark, specs[-1], cfg)
 
 
 @query
@@ -782,7 +788,7 @@ def scan_json_roundtrip(spark, d):
 
 @query
 def ingest_status(spark, d):
-    cfg, status = _ingested(spark, d)
+    cfg, status, _ = _ingested(spark, d, "customers", "merchants", "transactions", "device_session_logs")
     counts = [ingest.bronze(spark, spec, cfg).agg(F.count(F.lit(1)).alias("total_rows")).select(
         F.lit(spec.name).alias("dataset"), "total_rows") for spec in cfg.specs]
     total = counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
@@ -791,16 +797,16 @@ def ingest_status(spark, d):
 
 @query
 def ingest_transactions(spark, d):
-    cfg, _ = _ingested(spark, d)
-    return ingest.bronze(spark, cfg.specs[2], cfg).select(
+    _, _, raw = _ingested(spark, d, "transactions")
+    return raw.select(
         "transaction_id", "customer_id", "amount", "txn_date", "_partition_date", "_pipeline_run_id",
         "_rescued_data")
 
 
 @query
 def ingest_sessions(spark, d):
-    cfg, _ = _ingested(spark, d)
-    return nested.flatten_structs(ingest.bronze(spark, cfg.specs[3], cfg), roles.GEO_FIELDS).select(
+    _, _, raw = _ingested(spark, d, "device_session_logs")
+    return nested.flatten_structs(raw, roles.GEO_FIELDS).select(
         "session_id", "customer_id", "lat", "long", "city", "accuracy_m", "os", "app_version",
         "_rescued_data")
 
@@ -808,8 +814,7 @@ def ingest_sessions(spark, d):
 @query
 def audit_cols(spark, d):
     """Rows per run with how many carry a file name and an ingestion time."""
-    cfg, _ = _ingested(spark, d)
-    raw = ingest.bronze(spark, cfg.specs[0], cfg)
+    _, _, raw = _ingested(spark, d, "customers")
     return raw.groupBy("_pipeline_run_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_source_file").endswith(".csv")).alias("with_file"),
