@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import OUTLIER_QUANTILE
 from tidemark.functions.casts import count_when
-from tidemark.operators.quantiles import quantile
+from tidemark.operators.quantiles import exact_quantiles, quantile
 
 MONEY = "decimal(18,2)"
 
@@ -18,9 +18,17 @@ def money_sum(col: Column | str) -> Column:
     return F.sum(col.cast(MONEY)).cast("double")
 
 
-def amount_stats(df: DataFrame, col: str) -> DataFrame:
-    """One row: non-null count, min, max, mean, sample stddev, negative and zero counts, median."""
+def amount_stats(df: DataFrame, col: str, outlier_p: float | None = None) -> DataFrame:
+    """One row: non-null count, min, max, mean, sample stddev, negative and zero counts, median.
+
+    With ``outlier_p`` also the number of rows above that quantile, found by the same passes.
+    """
     amount = F.col(col).try_cast("double")
+    probs = [0.5] if outlier_p is None else [0.5, outlier_p]
+    picked = exact_quantiles(df, amount, probs).withColumn("p", F.col("p").cast("double"))
+    placed = picked.agg(F.struct(
+        F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median_amount"),
+        F.max(F.when(F.col("p") == probs[-1], F.col("above"))).alias("outlier_rows"))).scalar()
     stats = df.agg(
         F.count(amount).alias("non_null_count"),
         F.min(amount).alias("min_amount"),
@@ -29,8 +37,11 @@ def amount_stats(df: DataFrame, col: str) -> DataFrame:
         F.round(F.stddev(amount), 4).alias("stddev_amount"),
         count_when(amount < 0).alias("negative_count"),
         count_when(amount == 0).alias("zero_count"),
-    )
-    return stats.withColumn("median_amount", quantile(df, amount, 0.5))
+    ).withColumn("_placed", placed)
+    out = stats.withColumn("median_amount", F.col("_placed.median_amount"))
+    if outlier_p is not None:
+        out = out.withColumn("outlier_rows", F.coalesce(F.col("_placed.outlier_rows"), F.lit(0)))
+    return out.drop("_placed")
 
 
 def breakdown(df: DataFrame, col: str, scale: int = 2) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.functions.casts import percent
 
 def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    parents = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
+    parents = parent.select(F.col(parent_key).alias("_parent_key"))
     return child.where(F.col(child_key).isNotNull()).join(
         parents, F.col(child_key) == F.col("_parent_key"), "left_anti")
 

@@ -8,107 +8,79 @@ narrow scan with map-side counting, and only histograms of bounded width meet in
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_LOG_STEPS = 512
-_LINEAR_STEPS = 4096
+# A monotone bucket number, about 0.2 % wide in value and below 400,000 on each side of zero.
+_LOG_BUCKET = "CAST(signum(x) * floor(log1p(abs(x)) * 512) AS DOUBLE)"
+# Position between the extremes of a logarithmic bucket, in 4096 steps.
+_LINEAR_BUCKET = "CAST(CASE WHEN hi > lo THEN floor((x - lo) / (hi - lo) * 4096) ELSE 0 END AS DOUBLE)"
 
 
-def _rank(p: Column, total: Column) -> Column:
-    """1-based rank of the smallest value whose cumulative share reaches p, in exact arithmetic."""
-    return F.greatest(F.lit(1).cast("bigint"), F.ceil(p * total.cast("decimal(20,0)")).cast("bigint"))
+def _p(value: float | str) -> str:
+    return f"CAST('{value}' AS DECIMAL(12,9))"
 
 
-def _prob_array(probs: Sequence[float | str]) -> Column:
-    return F.array(*[F.lit(Decimal(str(p))).cast("decimal(12,9)") for p in probs])
+def _targets(probs: Sequence[float | str]) -> str:
+    """(p, rank) of the requested quantiles whose rank falls to the current histogram row.
 
-
-def _log_bucket(x: Column) -> Column:
-    """A monotone bucket number: about 0.2 % wide in value, below 400,000 each side of zero."""
-    return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * _LOG_STEPS)).cast("double")
-
-
-def _linear_bucket(x: Column, lo: Column, hi: Column) -> Column:
-    return F.when(hi > lo, F.floor((x - lo) / (hi - lo) * _LINEAR_STEPS)).otherwise(F.lit(0)).cast("double")
+    The rank is that of the smallest value whose cumulative share reaches p, in exact arithmetic.
+    """
+    ps = ", ".join(_p(p) for p in probs)
+    rank = "CAST(greatest(1, ceil(p * CAST(total AS DECIMAL(20,0)))) AS BIGINT)"
+    return (f"explode(filter(transform(array({ps}), p -> struct(p AS p, {rank} AS rank)),"
+            " t -> t.rank > upto - n AND t.rank <= upto))")
 
 
 def quantiles_from_counts(counts: DataFrame, value: str, n: str, probs: Sequence[float | str]) -> DataFrame:
-    """(p, value) from a histogram of distinct values with bounded width."""
-    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    cumulated = counts.where(F.col(value).isNotNull()).select(
-        F.col(value).alias("value"),
-        F.col(n).alias("_n"),
-        F.sum(n).over(upto).alias("_upto"),
-        F.sum(n).over(everything).alias("_total"),
-    )
-    hit = F.filter(
-        _prob_array(probs),
-        lambda p: (_rank(p, F.col("_total")) > F.col("_upto") - F.col("_n"))
-        & (_rank(p, F.col("_total")) <= F.col("_upto")),
-    )
-    return cumulated.select(F.explode(hit).alias("p"), "value")
+    """(p, value, above) from a histogram of distinct values with bounded width."""
+    cumulated = counts.where(F.col(value).isNotNull()).selectExpr(
+        f"{value} AS value", f"{n} AS n", f"sum({n}) OVER (ORDER BY {value}) AS upto", f"sum({n}) OVER () AS total")
+    return cumulated.selectExpr("value", "total - upto AS above", f"{_targets(probs)} AS t").selectExpr(
+        "t.p AS p", "value", "above")
 
 
 def exact_quantiles(df: DataFrame, col: Column | str, probs: Sequence[float | str]) -> DataFrame:
-    """(p, value): for every p the smallest value with at least a share p of the rows at or below it.
+    """(p, value, above): for every p the smallest value with at least a share p of the rows at or
+    below it, and the number of rows strictly above that value.
 
     Nulls are ignored. Values are compared as doubles.
     """
     x = (F.col(col) if isinstance(col, str) else col).cast("double")
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    values = df.select(x.alias("x")).where("x IS NOT NULL")
+    bucketed = values.selectExpr("x", f"{_LOG_BUCKET} AS b1")
 
     # Pass 1: logarithmic histogram; fewer than a million buckets whatever the data.
-    coarse = values.groupBy(_log_bucket(F.col("x")).alias("b1")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    upto = Window.orderBy("b1").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    placed = coarse.select(
-        "b1", "lo", "hi", "n",
-        F.sum("n").over(upto).alias("upto"),
-        F.sum("n").over(everything).alias("total"),
-    )
-    ranks = F.transform(_prob_array(probs), lambda p: F.struct(
-        p.alias("p"), _rank(p, F.col("total")).alias("rank")))
-    inside = F.filter(ranks, lambda r: (r["rank"] > F.col("upto") - F.col("n"))
-                      & (r["rank"] <= F.col("upto")))
-    target1 = placed.select("b1", "lo", "hi", (F.col("upto") - F.col("n")).alias("below"),
-                            F.explode(inside).alias("t")).select(
-        F.col("t.p").alias("p"), (F.col("t.rank") - F.col("below")).alias("rank"), "b1", "lo", "hi")
+    coarse = bucketed.groupBy("b1").agg(F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"))
+    target1 = coarse.selectExpr(
+        "b1", "lo", "hi", "n", "sum(n) OVER (ORDER BY b1) AS upto", "sum(n) OVER () AS total",
+    ).selectExpr("b1", "lo", "hi", "upto - n AS below", "total", f"{_targets(probs)} AS t").selectExpr(
+        "t.p AS p", "t.rank AS rank", "b1", "lo", "hi", "below", "total")
 
     # Pass 2: inside the bucket found for each p, a linear histogram of fixed width.
     # The targets are one row per requested p, so they are always small enough to broadcast.
-    in_bucket = values.withColumn("b1", _log_bucket(F.col("x"))).join(F.broadcast(target1), "b1")
-    fine = in_bucket.groupBy(
-        "p", "rank", "b1", "lo", "hi",
-        _linear_bucket(F.col("x"), F.col("lo"), F.col("hi")).alias("b2"),
-    ).agg(F.count(F.lit(1)).alias("n"))
-    upto2 = Window.partitionBy("p").orderBy("b2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target2 = fine.withColumn("upto", F.sum("n").over(upto2)).where(
-        (F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto"))
-    ).select("p", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "b1", "lo", "hi", "b2")
+    place = ["p", "rank", "b1", "lo", "hi", "below", "total"]
+    fine = bucketed.join(F.broadcast(target1), "b1").groupBy(
+        *place, F.expr(f"{_LINEAR_BUCKET} AS b2")).agg(F.expr("count(1) AS n"))
+    target2 = fine.selectExpr(
+        "*", "below + sum(n) OVER (PARTITION BY p ORDER BY b2) AS upto",
+    ).where("rank > upto - n AND rank <= upto").selectExpr(
+        "p", "rank", "b1", "lo", "hi", "upto - n AS below", "total", "b2")
 
     # Pass 3: distinct values of that sliver, counted before they move.
-    sliver = values.withColumn("b1", _log_bucket(F.col("x"))).join(F.broadcast(target2), "b1").where(
-        _linear_bucket(F.col("x"), F.col("lo"), F.col("hi")) == F.col("b2"))
-    by_value = sliver.groupBy("p", "rank", "x").agg(F.count(F.lit(1)).alias("n"))
-    upto3 = Window.partitionBy("p").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return by_value.withColumn("upto", F.sum("n").over(upto3)).where(
-        (F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto"))
-    ).select("p", F.col("x").alias("value"))
+    by_value = bucketed.join(F.broadcast(target2), "b1").where(f"{_LINEAR_BUCKET} = b2").groupBy(
+        "p", "rank", "below", "total", "x").agg(F.expr("count(1) AS n"))
+    return by_value.selectExpr(
+        "*", "below + sum(n) OVER (PARTITION BY p ORDER BY x) AS upto",
+    ).where("rank > upto - n AND rank <= upto").selectExpr("p", "x AS value", "total - upto AS above")
 
 
-def as_row(quantiles: DataFrame, names: Mapping[str, float | str]) -> DataFrame:
+def as_row(quantiles: DataFrame, names: Mapping[str, float | str], field: str = "value") -> DataFrame:
     """One row with one named column per quantile."""
-    return quantiles.agg(*[
-        F.max(F.when(F.col("p") == F.lit(Decimal(str(p))).cast("decimal(12,9)"), F.col("value"))).alias(name)
-        for name, p in names.items()
-    ])
+    return quantiles.agg(*[F.expr(f"max(CASE WHEN p = {_p(p)} THEN {field} END) AS {n}") for n, p in names.items()])
 
 
 def quantile(df: DataFrame, col: Column | str, p: float | str) -> Column:
     """One exact quantile as a scalar subquery, usable inside any expression."""
-    return as_row(exact_quantiles(df, col, [p]), {"q": p}).scalar()
+    return exact_quantiles(df, col, [p]).agg(F.expr("max(value)")).scalar()

@@ -50,30 +50,30 @@ def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPo
     """
     keyed = _with_plain_key(df, key)
     cells = policy.fan * policy.fan
-    sampled = keyed.select(
-        "_key", "_unkeyed", F.col(order[0]).alias("at"), F.xxhash64("_key", *order).alias("h"),
-    ).where(F.pmod("h", F.lit(policy.sample_every)) == 0)
+    sampled = keyed.selectExpr(
+        "_key", "_unkeyed", f"{order[0]} AS at", f"xxhash64(_key, {', '.join(order)}) AS h",
+    ).where(f"pmod(h, {policy.sample_every}) = 0")
     heavy = (
-        sampled.groupBy("_key", "_unkeyed").agg(F.count(F.lit(1)).alias("seen"))
-        .where(F.col("seen") * policy.sample_every > policy.heavy_rows)
+        sampled.groupBy("_key", "_unkeyed").agg(F.expr("count(1) AS seen"))
+        .where(f"seen * {policy.sample_every} > {policy.heavy_rows}")
         .orderBy(F.desc("seen"), "_key", "_unkeyed").limit(policy.max_keys)
-        .withColumn("thin", F.greatest(F.lit(1), F.floor(F.col("seen") / cells)))
+        .selectExpr("_key", "_unkeyed", f"greatest(1, floor(seen / {cells})) AS thin")
     )
     # Thinned to one to two times ``cells`` points per key, so the lists stay small.
     points = (
         sampled.join(F.broadcast(heavy), ["_key", "_unkeyed"])
-        .where(F.pmod(F.shiftright("h", 12), F.col("thin")) == 0)
-        .groupBy("_key", "_unkeyed").agg(F.array_sort(F.collect_set("at")).alias("fine"))
+        .where("pmod(shiftright(h, 12), thin) = 0")
+        .groupBy("_key", "_unkeyed").agg(F.expr("array_sort(collect_set(at)) AS fine"))
     )
     # Every fan-th point, so that a row finds its cell in two short steps.
-    return points.withColumn("coarse", F.filter("fine", lambda c, i: (i + 1) % policy.fan == 0))
+    return points.selectExpr("*", f"filter(fine, (c, i) -> (i + 1) % {policy.fan} = 0) AS coarse")
 
 
-def _cell(order_col: str, fan: int) -> Column:
+def _cell(at: str, fan: int) -> Column:
     """Number of cut points strictly below the order value; 0 for keys that are not cut."""
-    big = F.size(F.filter("coarse", lambda c: c < F.col(order_col)))
-    small = F.size(F.filter(F.slice("fine", big * fan + 1, F.lit(fan - 1)), lambda c: c < F.col(order_col)))
-    return F.when(F.col("fine").isNull() | F.col(order_col).isNull(), F.lit(0)).otherwise(big * fan + small)
+    big = f"size(filter(coarse, c -> c < {at}))"
+    small = f"size(filter(slice(fine, {big} * {fan} + 1, {fan - 1}), c -> c < {at}))"
+    return F.expr(f"CASE WHEN fine IS NULL OR {at} IS NULL THEN 0 ELSE {big} * {fan} + {small} END")
 
 
 def with_neighbor(

@@ -262,7 +262,9 @@ def _concentration(dim: str, key: str, detail: str, base: str | None) -> str:
 
 
 def _quantiles(table: str, col: str, probs: list[str]) -> str:
-    return _union([f"SELECT CAST({p} AS DOUBLE) AS p, quantile_disc({col}, {p}) AS value FROM {table}" for p in probs])
+    return _union([f"SELECT CAST({p} AS DOUBLE) AS p, quantile_disc({col}, {p}) AS value, "
+                   f"(SELECT count(*) FROM {table} WHERE {col} > (SELECT quantile_disc({col}, {p}) FROM {table})) AS above "
+                   f"FROM {table}" for p in probs])
 
 
 def _heavy(table: str, key: str) -> str:

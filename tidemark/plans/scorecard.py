@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import FOREIGN_KEYS, PII_COLUMNS, PRIMARY_KEYS, ForeignKey
+from tidemark.config import FOREIGN_KEYS, OUTLIER_QUANTILE, PII_COLUMNS, PRIMARY_KEYS, ForeignKey
 from tidemark.operators import distribution, integrity, lifecycle, pii, profile, timeline, velocity
 from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy
 from tidemark.operators.thresholds import value_status
@@ -75,26 +75,27 @@ def scorecard(
         F.lit(3).alias("section"), F.lit("orphan_rows").alias("check_name"), F.col("check_name").alias("subject"),
         F.col("orphan_rows").cast("double").alias("value"), "status", F.lit("BLOCKER").alias("severity")))
 
-    # 4 distributions.
-    parts.append(_entries(distribution.amount_stats(transactions, "amount"), 4, "transactions.amount", {
-        c: c for c in ("min_amount", "max_amount", "mean_amount", "median_amount", "stddev_amount",
-                       "negative_count", "zero_count")}))
-
-    # 5 time.
-    parts.append(_entries(timeline.future_dated(transactions, "txn_timestamp", today), 5,
-                          "transactions.txn_timestamp", {"future_dated": "future_rows"}))
+    # 4 distributions, and the outlier count that the same passes give.
+    amounts = distribution.amount_stats(transactions, "amount", OUTLIER_QUANTILE)
+    parts.append(amounts.select(F.inline(F.array(
+        *[_entry(4, c, "transactions.amount", F.col(c)) for c in (
+            "min_amount", "max_amount", "mean_amount", "median_amount", "stddev_amount",
+            "negative_count", "zero_count")],
+        _entry(6, "amount_outliers", "transactions.amount", F.col("outlier_rows"))))))
+
+    # 5 time. Future rows and missing days both come from the daily counts.
+    daily = timeline.daily_volume(transactions, "txn_timestamp")
+    future = daily.agg(F.coalesce(F.sum(F.when(F.col("day") > today, F.col("n"))), F.lit(0)).alias("n"))
+    parts.append(_entries(future, 5, "transactions.txn_timestamp", {"future_dated": "n"}))
     early = lifecycle.pre_lifecycle(
         transactions, customers, "customer_id", F.col("txn_date"), F.col("signup_date"))
     parts.append(_entries(early.agg(F.count(F.lit(1)).alias("n")), 5, "transactions.txn_date", {"pre_signup": "n"}))
-    gaps = timeline.gap_days(timeline.daily_volume(transactions, "txn_timestamp"))
+    gaps = timeline.gap_days(daily)
     parts.append(_entries(gaps.agg(F.count(F.lit(1)).alias("n")), 5, "transactions.txn_timestamp", {"gap_days": "n"}))
     parts.append(_entries(timeline.age_sanity(customers, F.col("dob"), today), 5, "customers.dob", {
         c: c for c in ("future_birth", "under_18", "over_100")}))
 
-    # 6 outliers.
-    outliers = distribution.amount_outliers(transactions, "amount")
-    parts.append(_entries(outliers.agg(F.count(F.lit(1)).alias("n")), 6, "transactions.amount",
-                          {"amount_outliers": "n"}))
+    # 6 travel.
     fixes = sessions.select("customer_id", "session_id", "event_timestamp",
                             F.col("geo.lat").alias("lat"), F.col("geo.long").alias("lng"))
     fast = velocity.impossible(velocity.velocity_pairs(

@@ -156,13 +156,13 @@ def amount_stats(spark, d):
 @query
 def amount_quantiles(spark, d):
     q = quantiles.exact_quantiles(roles.transactions(spark, d), "amount", ["0.001", "0.5", "0.95", "0.99", "0.999"])
-    return q.select(F.col("p").cast("double").alias("p"), "value")
+    return q.select(F.col("p").cast("double").alias("p"), "value", "above")
 
 
 @query
 def lineitem_price_quantiles(spark, d):
     q = quantiles.exact_quantiles(roles.read(spark, d, "lineitem"), "l_extendedprice", ["0.5", "0.999"])
-    return q.select(F.col("p").cast("double").alias("p"), "value")
+    return q.select(F.col("p").cast("double").alias("p"), "value", "above")
 
 
 @query
