@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators.sequence import SkewPolicy, heavy_key_cuts, with_neighbor
 
-CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, fan=4, max_keys=20)
+CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cells=16, max_keys=20)
 
 
 def data(seed=3, n=900):
@@ -30,7 +30,7 @@ def brute(rows, forward):
 
 
 @pytest.mark.parametrize("forward", [False, True])
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 3, 2), SkewPolicy(10, 4, 2, 1)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 9, 2), SkewPolicy(10, 4, 4, 1)])
 def test_neighbours_do_not_depend_on_cuts(spark, forward, policy):
     rows = data()
     df = spark.createDataFrame(rows, "k int, t int, i int, v string").repartition(5)
@@ -45,16 +45,16 @@ def test_string_keys_and_empty_string_is_not_null(spark):
     rows = [("", 1, 1), ("", 2, 2), (None, 1, 3), (None, 5, 4), ("a", 1, 5)] * 1
     df = spark.createDataFrame(rows, "k string, t int, i int")
     got = {r.i: r.n.i if r.n else None
-           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 2, 10)).collect()}
+           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 4, 10)).collect()}
     assert got == {1: None, 2: 1, 3: None, 4: 3, 5: None}
 
 
 def test_only_heavy_keys_are_cut_and_cuts_are_bounded(spark):
     df = spark.createDataFrame(data(), "k int, t int, i int, v string")
-    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 4, 20)).collect()
+    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 16, 20)).collect()
     assert [c._key for c in cuts] == [1]
     assert 4 * 4 <= len(cuts[0].fine) <= 3 * 4 * 4
-    assert len(heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(1, 1, 4, 3)).collect()) == 3
+    assert len(heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(1, 1, 16, 3)).collect()) == 3
 
 
 def test_heavy_key_is_spread_over_window_groups(spark):
@@ -69,3 +69,29 @@ def test_heavy_key_is_spread_over_window_groups(spark):
 def test_columns_of_input_survive_unchanged(spark):
     df = spark.createDataFrame(data(n=30), "k int, t int, i int, v string")
     assert with_neighbor(df, "k", ["t", "i"], ["v"], "n").columns == ["k", "t", "i", "v", "n"]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double"])
+def test_cells_follow_the_order_for_every_type(spark, kind):
+    """Neighbours of a cut key by dates, times in a zone with clock changes, and fractions."""
+    rows = [(1, x, i) for i, x in enumerate(random.Random(4).choices(range(0, 90 * 48), k=400))]
+    df = spark.createDataFrame(rows, "k int, x int, i int")
+    start = "timestamp'2024-02-15 00:00:00'" if kind == "timestamp" else "timestamp_ntz'2024-02-15 00:00:00'"
+    at = {"double": "x / 7.0", "date": "date_add(date'2024-02-15', CAST(x / 48 AS INT))"}.get(
+        kind, f"{start} + make_dt_interval(0, 0, x * 30)")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        timed = df.selectExpr("k", f"{at} AS t", "i")
+        plain = with_neighbor(timed, "k", ["t", "i"], ["i"], "n").select("i", "n.i").collect()
+        cut = with_neighbor(timed, "k", ["t", "i"], ["i"], "n", policy=CUT_ALL).select("i", "n.i").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, cut), key=repr)
+    assert sum(r[1] is None for r in cut) == 1
+
+
+def test_heavy_key_without_order_values(spark):
+    df = spark.createDataFrame([(1, None, i) for i in range(30)], "k int, t int, i int")
+    got = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=CUT_ALL).collect()
+    assert sorted((r.i, r.n.i if r.n else -1) for r in got) == [(i, i - 1) for i in range(30)]

@@ -46,9 +46,10 @@ def amount_stats(df: DataFrame, col: str, outlier_p: float | None = None) -> Dat
 
 def breakdown(df: DataFrame, col: str, scale: int = 2) -> DataFrame:
     """(col, n, pct): row count and share of the total per value."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "pct", F.round(F.col("n") / total * 100, scale))
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    # The total is summed from the same counts, so Spark reuses their shuffle and scans once.
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", F.round(F.col("n") / total * 100, scale))
 
 
 def top_values(df: DataFrame, col: str, k: int = 10) -> DataFrame:

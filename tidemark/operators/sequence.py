@@ -12,8 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_SLOTS = 256
 
 
 @dataclass(frozen=True)
@@ -22,14 +25,14 @@ class SkewPolicy:
 
     ``heavy_rows``: estimated rows above which a key is cut.
     ``sample_every``: one row in so many is hashed into the estimate.
-    ``fan``: a heavy key is cut into roughly ``fan * fan`` to twice as many cells.
+    ``cells``: a heavy key is cut into roughly so many to twice as many cells.
     ``max_keys``: at most so many keys are cut, heaviest first. Every key beyond them holds less
     than 1/max_keys of the rows, which a plain window task can take.
     """
 
     heavy_rows: int = 4_000_000
     sample_every: int = 1024
-    fan: int = 32
+    cells: int = 1024
     max_keys: int = 1000
 
 
@@ -44,12 +47,11 @@ def _with_plain_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(_key, _unkeyed, fine, coarse): cut points of the heaviest keys, at most ``max_keys`` rows.
+    """(_key, _unkeyed, fine, low, width, before): cut points of the heaviest keys, at most ``max_keys`` rows.
 
     Everything here is a function of the rows alone, so two evaluations give the same cut points.
     """
     keyed = _with_plain_key(df, key)
-    cells = policy.fan * policy.fan
     sampled = keyed.selectExpr(
         "_key", "_unkeyed", f"{order[0]} AS at", f"xxhash64(_key, {', '.join(order)}) AS h",
     ).where(f"pmod(h, {policy.sample_every}) = 0")
@@ -57,7 +59,7 @@ def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPo
         sampled.groupBy("_key", "_unkeyed").agg(F.expr("count(1) AS seen"))
         .where(f"seen * {policy.sample_every} > {policy.heavy_rows}")
         .orderBy(F.desc("seen"), "_key", "_unkeyed").limit(policy.max_keys)
-        .selectExpr("_key", "_unkeyed", f"greatest(1, floor(seen / {cells})) AS thin")
+        .selectExpr("_key", "_unkeyed", f"greatest(1, floor(seen / {policy.cells})) AS thin")
     )
     # Thinned to one to two times ``cells`` points per key, so the lists stay small.
     points = (
@@ -65,15 +67,40 @@ def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPo
         .where("pmod(shiftright(h, 12), thin) = 0")
         .groupBy("_key", "_unkeyed").agg(F.expr("array_sort(collect_set(at)) AS fine"))
     )
-    # Every fan-th point, so that a row finds its cell in two short steps.
-    return points.selectExpr("*", f"filter(fine, (c, i) -> (i + 1) % {policy.fan} = 0) AS coarse")
-
-
-def _cell(at: str, fan: int) -> Column:
-    """Number of cut points strictly below the order value; 0 for keys that are not cut."""
-    big = f"size(filter(coarse, c -> c < {at}))"
-    small = f"size(filter(slice(fine, {big} * {fan} + 1, {fan - 1}), c -> c < {at}))"
-    return F.expr(f"CASE WHEN fine IS NULL OR {at} IS NULL THEN 0 ELSE {big} * {fan} + {small} END")
+    # A table of equal-width slots that says how many points lie before each slot, so that a row
+    # finds its cell by one division and a look at the few points of its own slot.
+    at = _position("c", df.schema[order[0]].dataType)
+    return points.selectExpr("*", f"transform(fine, c -> {at}) AS spots").selectExpr(
+        "_key", "_unkeyed", "fine", "spots", "get(spots, 0) AS low",
+        f"greatest((get(spots, size(spots) - 1) - get(spots, 0)) / {_SLOTS}, 1e-9) AS width",
+    ).selectExpr(
+        "_key", "_unkeyed", "fine", "low", "width",
+        f"transform(sequence(0, {_SLOTS}), s -> size(filter(spots, x -> {_slot('x')} < s))) AS before")
+
+
+def _position(at: str, dtype: T.DataType) -> str:
+    """The order value as a double that never decreases while the value grows, in any time zone."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return (f"CAST(datediff(CAST({at} AS DATE), DATE'1970-01-01') AS DOUBLE) * 86400"
+                f" + hour({at}) * 3600 + minute({at}) * 60 + second({at})")
+    if isinstance(dtype, T.TimestampType):
+        return f"CAST(unix_seconds({at}) AS DOUBLE)"
+    if isinstance(dtype, T.DateType):
+        return f"CAST(unix_date({at}) AS DOUBLE)"
+    return f"CAST({at} AS DOUBLE)"
+
+
+def _slot(position: str) -> str:
+    return f"CAST(least(greatest(floor(({position} - low) / width), 0), {_SLOTS - 1}) AS INT)"
+
+
+def _with_cell(df: DataFrame, at: str) -> DataFrame:
+    """Adds _cell, the number of cut points strictly below the order value; 0 for uncut keys."""
+    slotted = df.withColumn("_slot", F.expr(_slot(_position(at, df.schema[at].dataType))))
+    return slotted.withColumn("_cell", F.expr(
+        f"CASE WHEN fine IS NULL OR {at} IS NULL THEN 0 ELSE before[_slot] + size(filter("
+        f"slice(fine, before[_slot] + 1, before[_slot + 1] - before[_slot]), c -> c < {at})) END"
+    )).drop("fine", "before", "low", "width", "_slot")
 
 
 def with_neighbor(
@@ -99,19 +126,12 @@ def with_neighbor(
     place = ["_key", "_unkeyed", "_cell"]
 
     # At most max_keys rows by construction, hence a safe broadcast.
-    placed = (
-        keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "left")
-        .withColumn("_cell", _cell(order[0], policy.fan))
-        .drop("fine", "coarse")
-    )
+    placed = _with_cell(keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "left"), order[0])
     step = F.lead if forward else F.lag
     local = placed.withColumn(into, step(payload, 1).over(Window.partitionBy(*place).orderBy(*order)))
 
     # One edge row per cell of a cut key: what the rows on the other side of the edge see.
-    heavy_rows = (
-        keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "inner")
-        .withColumn("_cell", _cell(order[0], policy.fan))
-    )
+    heavy_rows = _with_cell(keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "inner"), order[0])
     edge_of = F.min if forward else F.max
     edges = (
         heavy_rows.groupBy(*place)

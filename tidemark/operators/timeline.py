@@ -12,16 +12,20 @@ from tidemark.functions.calendar import age_years
 from tidemark.functions.casts import count_when
 
 
-def time_ranges(specs: Sequence[tuple[str, DataFrame, dict[str, Column]]]) -> DataFrame:
-    """(table_name, column_name, min_value, max_value) as text; one aggregate per table."""
+def time_ranges(specs: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """(table_name, column_name, min_value, max_value) as text; one aggregate per table.
+
+    ``specs`` lists tables with their date and timestamp columns.
+    """
     parts = []
     for table, df, cols in specs:
-        ends = df.agg(*[f(c).cast("string").alias(f"{tag}{i}")
-                        for i, c in enumerate(cols.values()) for tag, f in (("lo", F.min), ("hi", F.max))])
+        ends = df.agg(*[f(c).alias(f"{tag}{i}") for i, c in enumerate(cols) for tag, f in (("lo", F.min), ("hi", F.max))])
+        pattern = {c: "yyyy-MM-dd" if t == "date" else "yyyy-MM-dd HH:mm:ss" for c, t in df.select(*cols).dtypes}
         parts.append(ends.select(F.inline(F.array(*[
-            F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("column_name"),
-                     F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"))
-            for i, name in enumerate(cols)]))))
+            F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.date_format(f"lo{i}", pattern[c]).alias("min_value"),
+                     F.date_format(f"hi{i}", pattern[c]).alias("max_value"))
+            for i, c in enumerate(cols)]))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -211,20 +211,11 @@ def heavy_share_transactions(spark, d):
 
 @query
 def time_ranges(spark, d):
-    def day(c):
-        return F.date_format(c, "yyyy-MM-dd")
-
-    def second(c):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-
     return timeline.time_ranges([
-        ("transactions", roles.transactions(spark, d),
-         {"txn_timestamp": second("txn_timestamp"), "txn_date": day("txn_date")}),
-        ("customers", roles.customers(spark, d),
-         {"signup_date": day("signup_date"), "dob": day("dob"), "last_updated_ts": second("last_updated_ts")}),
-        ("merchants", roles.merchants(spark, d), {"onboarding_date": day("onboarding_date")}),
-        ("device_session_logs", roles.device_session_logs(spark, d),
-         {"event_timestamp": second("event_timestamp")}),
+        ("transactions", roles.transactions(spark, d), ["txn_timestamp", "txn_date"]),
+        ("customers", roles.customers(spark, d), ["signup_date", "dob", "last_updated_ts"]),
+        ("merchants", roles.merchants(spark, d), ["onboarding_date"]),
+        ("device_session_logs", roles.device_session_logs(spark, d), ["event_timestamp"]),
     ])
 
 
@@ -743,7 +734,7 @@ def _dated(landed, spark, d):
 def _land(spark, d, root, names):
     """Datasets as landing files."""
     if "customers" in names:
-        landing.write_csv(roles.customers_landed(spark, d), f"{root}/customers/full_load", files=2)
+        landing.write_csv(roles.customers_landed(spark, d), f"{root}/customers/full_load")
     if "merchants" in names:
         landing.write_csv(roles.merchants_landed(spark, d), f"{root}/merchants/full_load")
     if "transactions" in names:

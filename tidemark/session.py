@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -23,18 +23,18 @@ def build_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local folder is only made up where the setting is absent, which is the case in tests.
+    A local folder is only made up where the setting is absent, as in tests without one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    local = os.path.join(tempfile.gettempdir(), f"tidemark-{os.getpid()}")
-    os.makedirs(local, exist_ok=True)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return configured.rstrip("/") if configured else _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -30,9 +30,9 @@ def inline_df(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Struct
     return spark.createDataFrame(list(rows), schema)
 
 
-def write_csv(df: DataFrame, path: str, files: int = 1) -> None:
-    """A small dimension as a handful of CSV files."""
-    df.coalesce(files).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """A dimension as CSV: one file while it is small, more where one task would hold too much."""
+    df.hint("rebalance").write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_partitioned_csv(df: DataFrame, ts: str, path: str) -> None:
