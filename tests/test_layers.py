@@ -111,12 +111,12 @@ def test_quarantine_splits_without_loss(spark):
 @pytest.fixture
 def enriched(spark):
     txns = spark.createDataFrame([
-        (1, 10, 7, 5411, 20.0, "2024-01-05", "POS", "approved", "USD", True),
-        (2, 10, 8, 9999, -5.0, "2023-12-31", "POS", "approved", "USD", False),
-        (3, 99, 7, 5411, 1.0, "2024-02-01", "ATM", "declined", "USD", False),
-        (4, None, 7, None, 500.0, "2024-02-02", "ATM", "approved", "USD", True),
+        (1, 10, 7, 5411, 20.0, "2024-01-05", "POS", "approved", "USD", True, "purchase"),
+        (2, 10, 8, 9999, -5.0, "2023-12-31", "POS", "approved", "USD", False, "refund"),
+        (3, 99, 7, 5411, 1.0, "2024-02-01", "ATM", "declined", "USD", False, "purchase"),
+        (4, None, 7, None, 500.0, "2024-02-02", "ATM", "approved", "USD", True, "purchase"),
     ], "transaction_id int, customer_id int, merchant_id int, mcc_code int, amount double, txn_date string, "
-       "channel string, status string, currency string, is_fraud_flag boolean").withColumn(
+       "channel string, status string, currency string, is_fraud_flag boolean, txn_type string").withColumn(
         "txn_date", F.col("txn_date").cast("date"))
     customers = spark.createDataFrame([(10, "retail", "low", "verified", "2024-01-01"), (11, "business", "high", "pending", "2024-01-01")],
                                       "customer_id int, segment string, risk_band string, kyc_status string, signup_date string"
@@ -150,6 +150,8 @@ def test_marts(enriched):
              for r in gold.channel_volume_trends(fact).collect()}
     assert trend == {("POS", "2023-12"): (1, None, None), ("POS", "2024-01"): (1, 1, 0),
                      ("ATM", "2024-02"): (2, None, None)}
+    shops = {(r.merchant_id, str(r.txn_date)): (r.txns, r.returned) for r in gold.merchant_performance_daily(fact).collect()}
+    assert shops[(8, "2023-12-31")] == (1, 1) and shops[(7, "2024-01-05")] == (1, 0)
     span = gold.dim_date(fact, "txn_date")
     assert span.count() == 34
     row = span.where("date_day = '2024-01-06'").first()

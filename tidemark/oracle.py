@@ -573,6 +573,13 @@ _BODIES = {
     "silver_sessions": f"""SELECT CAST(session_id AS VARCHAR) AS session_id, CAST(customer_id AS VARCHAR) AS customer_id,
         {micro("date_trunc('second', event_timestamp)")} AS event_timestamp, lat FROM sessions
         WHERE session_id % 71 <> 0 AND session_id % 73 <> 0""",
+    "quarantine_sessions": """SELECT CAST(session_id AS VARCHAR) AS session_id,
+        CASE WHEN session_id % 73 <> 0 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
+        CASE WHEN session_id % 71 = 0 THEN 'late' ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') END
+          AS event_timestamp,
+        concat_ws(',', CASE WHEN session_id % 73 = 0 THEN 'missing_customer_id' END,
+          CASE WHEN session_id % 71 = 0 THEN 'bad_event_timestamp' END) AS reject_reasons
+        FROM sessions WHERE session_id % 71 = 0 OR session_id % 73 = 0""",
     "quarantine_transactions": f"""SELECT * FROM (SELECT transaction_id, customer_id, amount, txn_date,
         {_REASONS_TXN} AS reject_reasons FROM parsed) WHERE reject_reasons <> ''""",
     "quarantine_customers": f"""SELECT * FROM (SELECT full_name, dob, signup_date, {_REASONS_CUST} AS reject_reasons
@@ -598,8 +605,8 @@ _BODIES = {
         FROM (SELECT CAST(unnest(generate_series(CAST(min(txn_date) AS TIMESTAMP), CAST(max(txn_date) AS TIMESTAMP),
           INTERVAL 1 DAY)) AS DATE) AS d FROM transactions)""",
     "fact_transactions": f"""SELECT transaction_id, customer_id, merchant_id, {day('txn_date')} AS txn_date, channel,
-        status, currency, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, is_fraud_flag, is_amount_outlier,
-        is_negative_amount, is_signup_date_suspect, is_orphan_customer, is_orphan_merchant FROM enriched""",
+        status, currency, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, txn_type = 'refund' AS is_returned,
+        is_fraud_flag, is_amount_outlier, is_negative_amount, is_signup_date_suspect, is_orphan_customer, is_orphan_merchant FROM enriched""",
     "daily_fraud_summary": f"""SELECT {day('txn_date')} AS txn_date, count(*) AS txns,
         CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount,
         count(*) FILTER (WHERE is_fraud_flag) AS flagged_txns,

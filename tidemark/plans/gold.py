@@ -43,7 +43,8 @@ def fact_transactions(enriched: DataFrame) -> DataFrame:
     """Keys, measures and every flag of the enriched transactions."""
     return enriched.select(
         "transaction_id", "customer_id", "merchant_id", "txn_date", "channel", "status", "currency",
-        F.col("amount").cast("decimal(18,2)").alias("amount"), *FLAGS)
+        F.col("amount").cast("decimal(18,2)").alias("amount"),
+        (F.col("txn_type") == "refund").alias("is_returned"), *FLAGS)
 
 
 def daily_fraud_summary(fact: DataFrame) -> DataFrame:

@@ -43,25 +43,36 @@ def reject_reasons(df: DataFrame, types: Mapping[str, str], required: Sequence[s
 
 
 def split_quarantine(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejected raw rows with ``reject_reasons``); together they are the input."""
-    types, required = TYPES[dataset], REQUIRED.get(dataset, ())
+    """(typed rows, rejected raw rows with ``reject_reasons``); together they are the input.
+
+    Datasets without required columns, such as merchants, reject nothing: what does not parse
+    becomes null.
+    """
+    types, required = TYPES[dataset], REQUIRED.get(dataset)
+    if required is None:
+        return typed(df, types), df.withColumn("reject_reasons", F.array().cast("array<string>")).where("false")
     marked = df.withColumn("reject_reasons", reject_reasons(df, types, required))
     good = marked.where(F.size("reject_reasons") == 0).drop("reject_reasons")
     return typed(good, types), marked.where(F.size("reject_reasons") > 0)
 
 
+def typed_with_flags(good: DataFrame, dataset: str) -> DataFrame:
+    """Flags that depend on the row alone."""
+    if dataset == "transactions":
+        return good.withColumn("is_negative_amount", F.coalesce(F.col("amount") < 0, F.lit(False)))
+    return good
+
+
 def silver_customers(bronze: DataFrame) -> DataFrame:
     return split_quarantine(bronze, "customers")[0]
 
 
 def silver_merchants(bronze: DataFrame) -> DataFrame:
-    """Merchants have no quarantine: parse failures stay as null."""
-    return typed(bronze, TYPES["merchants"])
+    return split_quarantine(bronze, "merchants")[0]
 
 
 def silver_transactions(bronze: DataFrame) -> DataFrame:
-    good = split_quarantine(bronze, "transactions")[0]
-    return good.withColumn("is_negative_amount", F.coalesce(F.col("amount") < 0, F.lit(False)))
+    return typed_with_flags(split_quarantine(bronze, "transactions")[0], "transactions")
 
 
 def silver_device_session_logs(bronze: DataFrame) -> DataFrame:

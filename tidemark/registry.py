@@ -597,18 +597,27 @@ def silver_merchants(spark, d):
     return silver.silver_merchants(roles.merchants_landed(spark, d))
 
 
-@query
-def silver_sessions(spark, d):
-    landed = roles.device_session_logs(spark, d).withColumns({
+def _sessions_landed(spark, d):
+    return roles.device_session_logs(spark, d).withColumns({
         "event_timestamp": F.when(F.col("session_id") % 71 == 0, "late").otherwise(
             F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss")),
         "customer_id": F.when(F.col("session_id") % 73 != 0, F.col("customer_id").cast("string")),
         "session_id": F.col("session_id").cast("string"),
     })
-    return silver.silver_device_session_logs(landed).select(
+
+
+@query
+def silver_sessions(spark, d):
+    return silver.silver_device_session_logs(_sessions_landed(spark, d)).select(
         "session_id", "customer_id", "event_timestamp", F.col("geo.lat").alias("lat"))
 
 
+@query
+def quarantine_sessions(spark, d):
+    return silver.split_quarantine(_sessions_landed(spark, d), "device_session_logs")[1].select(
+        "session_id", "customer_id", "event_timestamp", "reject_reasons")
+
+
 @query
 def quarantine_transactions(spark, d):
     return silver.split_quarantine(roles.transactions_landed(spark, d), "transactions")[1].select(
