@@ -33,7 +33,7 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "k int, a string, b string, t timestamp_ntz")
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(10, 1, 9, 5)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(10, 1, 10, 5)])
 def test_scd2_matches_brute_force(spark, policy):
     rows = observations(5)
     got = scd2.scd2(frame(spark, rows), "k", ["a", "b"], "t", policy=policy)

@@ -252,7 +252,7 @@ def fixes(spark):
     ], FIX)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(1, 1, 4, 5)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(1, 1, 1, 5)])
 def test_velocity_pairs(spark, policy):
     pairs = velocity.velocity_pairs(fixes(spark), "k", "t", "id", "lat", "lng", ["acc"], policy)
     got = {r.id: r for r in pairs.collect()}

@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators.sequence import SkewPolicy, heavy_key_cuts, with_neighbor
 
-CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cells=16, max_keys=20)
+CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cell_rows=20, max_keys=20)
 
 
 def data(seed=3, n=900):
@@ -30,7 +30,7 @@ def brute(rows, forward):
 
 
 @pytest.mark.parametrize("forward", [False, True])
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 9, 2), SkewPolicy(10, 4, 4, 1)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 5, 2), SkewPolicy(10, 4, 100, 1)])
 def test_neighbours_do_not_depend_on_cuts(spark, forward, policy):
     rows = data()
     df = spark.createDataFrame(rows, "k int, t int, i int, v string").repartition(5)
@@ -45,16 +45,17 @@ def test_string_keys_and_empty_string_is_not_null(spark):
     rows = [("", 1, 1), ("", 2, 2), (None, 1, 3), (None, 5, 4), ("a", 1, 5)] * 1
     df = spark.createDataFrame(rows, "k string, t int, i int")
     got = {r.i: r.n.i if r.n else None
-           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 4, 10)).collect()}
+           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 1, 10)).collect()}
     assert got == {1: None, 2: 1, 3: None, 4: 3, 5: None}
 
 
 def test_only_heavy_keys_are_cut_and_cuts_are_bounded(spark):
     df = spark.createDataFrame(data(), "k int, t int, i int, v string")
-    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 16, 20)).collect()
+    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 10, 20)).collect()
     assert [c._key for c in cuts] == [1]
-    assert 4 * 4 <= len(cuts[0].fine) <= 3 * 4 * 4
-    assert len(heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(1, 1, 16, 3)).collect()) == 3
+    # 300 rows in cells of about ten.
+    assert 15 <= len(cuts[0].fine) <= 60
+    assert len(heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(1, 1, 10, 3)).collect()) == 3
 
 
 def test_heavy_key_is_spread_over_window_groups(spark):

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SLOTS = 256
+_MIN_CELLS = 16
+_MAX_SLOTS = 2048
 
 
 @dataclass(frozen=True)
@@ -25,14 +26,15 @@ class SkewPolicy:
 
     ``heavy_rows``: estimated rows above which a key is cut.
     ``sample_every``: one row in so many is hashed into the estimate.
-    ``cells``: a heavy key is cut into roughly so many to twice as many cells.
+    ``cell_rows``: rows a cell should hold at most, so that cells stay the same size while the
+    table grows. All cut points together number about rows / cell_rows: 4 MB per 10^12 rows.
     ``max_keys``: at most so many keys are cut, heaviest first. Every key beyond them holds less
     than 1/max_keys of the rows, which a plain window task can take.
     """
 
     heavy_rows: int = 4_000_000
     sample_every: int = 1024
-    cells: int = 1024
+    cell_rows: int = 2_000_000
     max_keys: int = 1000
 
 
@@ -47,7 +49,7 @@ def _with_plain_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(_key, _unkeyed, fine, low, width, before): cut points of the heaviest keys, at most ``max_keys`` rows.
+    """(_key, _unkeyed, fine, low, width, slots, before): cut points of the heaviest keys, at most ``max_keys`` rows.
 
     Everything here is a function of the rows alone, so two evaluations give the same cut points.
     """
@@ -59,9 +61,10 @@ def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPo
         sampled.groupBy("_key", "_unkeyed").agg(F.expr("count(1) AS seen"))
         .where(f"seen * {policy.sample_every} > {policy.heavy_rows}")
         .orderBy(F.desc("seen"), "_key", "_unkeyed").limit(policy.max_keys)
-        .selectExpr("_key", "_unkeyed", f"greatest(1, floor(seen / {policy.cells})) AS thin")
+        .selectExpr("_key", "_unkeyed", "greatest(1, floor(seen / greatest("
+                    f"{_MIN_CELLS}, seen * {policy.sample_every} / {policy.cell_rows}))) AS thin")
     )
-    # Thinned to one to two times ``cells`` points per key, so the lists stay small.
+    # The sample is thinned to the wanted number of points per key.
     points = (
         sampled.join(F.broadcast(heavy), ["_key", "_unkeyed"])
         .where("pmod(shiftright(h, 12), thin) = 0")
@@ -70,12 +73,14 @@ def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPo
     # A table of equal-width slots that says how many points lie before each slot, so that a row
     # finds its cell by one division and a look at the few points of its own slot.
     at = _position("c", df.schema[order[0]].dataType)
-    return points.selectExpr("*", f"transform(fine, c -> {at}) AS spots").selectExpr(
-        "_key", "_unkeyed", "fine", "spots", "get(spots, 0) AS low",
-        f"greatest((get(spots, size(spots) - 1) - get(spots, 0)) / {_SLOTS}, 1e-9) AS width",
+    return points.selectExpr(
+        "*", f"transform(fine, c -> {at}) AS spots", f"least(greatest(size(fine) div 4, 16), {_MAX_SLOTS}) AS slots",
     ).selectExpr(
-        "_key", "_unkeyed", "fine", "low", "width",
-        f"transform(sequence(0, {_SLOTS}), s -> size(filter(spots, x -> {_slot('x')} < s))) AS before")
+        "_key", "_unkeyed", "fine", "spots", "slots", "get(spots, 0) AS low",
+        "greatest((get(spots, size(spots) - 1) - get(spots, 0)) / slots, 1e-9) AS width",
+    ).selectExpr(
+        "_key", "_unkeyed", "fine", "low", "width", "slots",
+        f"transform(sequence(0, CAST(slots AS INT)), s -> size(filter(spots, x -> {_slot('x')} < s))) AS before")
 
 
 def _position(at: str, dtype: T.DataType) -> str:
@@ -91,7 +96,7 @@ def _position(at: str, dtype: T.DataType) -> str:
 
 
 def _slot(position: str) -> str:
-    return f"CAST(least(greatest(floor(({position} - low) / width), 0), {_SLOTS - 1}) AS INT)"
+    return f"CAST(least(greatest(floor(({position} - low) / width), 0), slots - 1) AS INT)"
 
 
 def _with_cell(df: DataFrame, at: str) -> DataFrame:
@@ -100,7 +105,7 @@ def _with_cell(df: DataFrame, at: str) -> DataFrame:
     return slotted.withColumn("_cell", F.expr(
         f"CASE WHEN fine IS NULL OR {at} IS NULL THEN 0 ELSE before[_slot] + size(filter("
         f"slice(fine, before[_slot] + 1, before[_slot + 1] - before[_slot]), c -> c < {at})) END"
-    )).drop("fine", "before", "low", "width", "_slot")
+    )).drop("fine", "before", "low", "width", "slots", "_slot")
 
 
 def with_neighbor(
