@@ -27,6 +27,7 @@ def test_partition_month_layouts(spark):
     paths = [
         ("file:/x/transactions/2026/07/data.csv", "2026-07"),
         ("s/transactions/txn_year=2025/txn_month=01/part-0.csv", "2025-01"),
+        ("s/logs/year=2025/month=11/day=03/part-0.json", "2025-11"),
         ("s/transactions/daily_drops/txn_date=2024-12-31/part-0.csv", "2024-12"),
         ("s/transactions/full_load/part-0.csv", None),
         ("s/customers/20/07/data.csv", None),

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import as_column
 
-# Layouts a landing path may follow: /2026/07/, txn_year=2026/txn_month=07, txn_date=2026-07-15.
+# Layouts a landing path may follow: /2026/07/, txn_year=2026/txn_month=07 or year=2026/month=07,
+# and txn_date=2026-07-15.
 _MONTH_PATTERNS = (
     r"/(\d{4})/(\d{2})/",
-    r"txn_year=(\d{4})/txn_month=(\d{2})(?:/|$)",
+    r"year=(\d{4})/(?:txn_)?month=(\d{2})(?:/|$)",
     r"_date=(\d{4})-(\d{2})-\d{2}(?:/|$)",
 )
 
