@@ -539,6 +539,8 @@ _BODIES = {
         sha256(device_id) AS device_id, CAST(NULL AS VARCHAR) AS ip_address, CAST(NULL AS DOUBLE) AS lat,
         sha256(city) AS city, accuracy_m FROM sessions""",
     "scorecard_lines": _card_lines(),
+    "scorecard_findings": f"""SELECT check_name, subject, value, status, severity FROM ({_card_lines()})
+        WHERE severity <> 'INFO' AND status NOT IN ('PASS', 'INFO', 'N/A')""",
     "verdict": f"""SELECT CASE WHEN blockers > 0 THEN 'RED' WHEN warnings > 0 THEN 'YELLOW' ELSE 'GREEN' END AS verdict,
         blockers, warnings FROM (SELECT count(*) FILTER (WHERE severity = 'BLOCKER') AS blockers,
           count(*) FILTER (WHERE severity = 'WARNING') AS warnings FROM ({_card_lines()})

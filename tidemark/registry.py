@@ -549,6 +549,11 @@ def scorecard_lines(spark, d):
     return _card(spark, d)
 
 
+@query
+def scorecard_findings(spark, d):
+    return scorecard.findings(_card(spark, d)).select("check_name", "subject", "value", "status", "severity")
+
+
 @query
 def verdict(spark, d):
     return scorecard.verdict(_card(spark, d))
@@ -823,8 +828,8 @@ def audit_cols(spark, d):
 
 @query
 def table_roundtrip(spark, d):
-    """A managed table written over itself: the second write replaces the first."""
-    name = f"tidemark_{uuid.uuid4().hex[:8]}.merchants"
-    tables.write_table(roles.merchants(spark, d).limit(1), name)
+    """A managed table written twice: the second write replaces rows and columns of the first."""
+    name, path = f"tidemark_{uuid.uuid4().hex[:8]}.merchants", scratch_path(spark, "database")
+    tables.write_table(roles.merchants(spark, d), name, database_path=path)
     tables.write_table(gold.dim_merchant(roles.merchants(spark, d)), name)
     return tables.read_table(spark, name)
