@@ -73,3 +73,17 @@ def test_scorecard_over_the_lake(spark, lake):
     assert found[("orphan_rows", "transactions.customer_id -> customers.customer_id")] == 1
     assert found[("gap_days", "transactions.txn_timestamp")] == 29
     assert scorecard.verdict(card).first().verdict == "RED"
+
+
+def test_only_named_months_are_rewritten(spark, lake):
+    def stamps():
+        return {r.month: r.files for r in read_silver(spark, lake, "transactions_enriched").select(
+            "txn_month", F.col("_metadata.file_path").alias("f")).groupBy(F.col("txn_month").alias("month")).agg(
+            F.array_sort(F.collect_set("f")).alias("files")).collect()}
+
+    before, rows = stamps(), read_silver(spark, lake, "transactions_enriched").count()
+    jobs.build_silver(spark, lake, months=["2026-04"])
+    after = stamps()
+    assert set(before) == set(after) == {"2026-03", "2026-04"}
+    assert before["2026-03"] == after["2026-03"] and before["2026-04"] != after["2026-04"]
+    assert read_silver(spark, lake, "transactions_enriched").count() == rows

@@ -64,6 +64,13 @@ def test_scd2_merge_late_row_and_untouched_keys(spark):
                    (2, "z", None, T0, None, True)}
 
 
+def test_scd2_merge_rebuilds_the_null_key_once(spark):
+    dim = scd2.scd2(frame(spark, [(None, "a", None, T0), (2, "z", None, T0)]), "k", ["a", "b"], "t")
+    news = frame(spark, [(None, "b", None, T0 + dt.timedelta(1))])
+    got = scd2.scd2_merge(dim, news, "k", ["a", "b"], "t").collect()
+    assert sorted((r.k or 0, r.a, r.is_current) for r in got) == [(0, "a", False), (0, "b", True), (2, "z", True)]
+
+
 def test_merge_batch_is_repeatable(spark, tmp_path):
     rows, path = observations(9), str(tmp_path / "dim")
     apply = scd2.merge_batch(path, "k", ["a", "b"], "t")

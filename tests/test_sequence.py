@@ -96,3 +96,11 @@ def test_heavy_key_without_order_values(spark):
     df = spark.createDataFrame([(1, None, i) for i in range(30)], "k int, t int, i int")
     got = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=CUT_ALL).collect()
     assert sorted((r.i, r.n.i if r.n else -1) for r in got) == [(i, i - 1) for i in range(30)]
+
+
+def test_without_heavy_keys_only_the_window_remains(spark):
+    df = spark.createDataFrame(data(), "k int, t int, i int, v string")
+    out = with_neighbor(df, "k", ["t", "i"], ["i"], "n")
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Window [lag" in final and "Join" not in final

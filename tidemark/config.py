@@ -13,6 +13,7 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+# Columns of the landed datasets.
 CUSTOMERS_SCHEMA = _strings(
     "customer_id", "full_name", "dob", "signup_date", "segment",
     "risk_band", "address", "kyc_status", "last_updated_ts",
@@ -84,6 +85,7 @@ class Config:
 
 
 def default_specs(landing_root: str) -> tuple[IngestSpec, ...]:
+    # Dataset folders and raw table names.
     return (
         IngestSpec("customers", "csv", f"{landing_root}/customers",
                    "bronze_customers_raw", CUSTOMERS_SCHEMA),
@@ -96,6 +98,7 @@ def default_specs(landing_root: str) -> tuple[IngestSpec, ...]:
     )
 
 
+# Keys and relations of the datasets.
 PRIMARY_KEYS = {
     "customers": ["customer_id"],
     "merchants": ["merchant_id"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +25,25 @@ def gold_path(cfg: Config, name: str) -> str:
     return cfg.table_path("gold", name)
 
 
-def build_silver(spark: SparkSession, cfg: Config) -> None:
-    """Types what is new, then rebuilds the enriched transactions, whose flags look at all rows."""
+def build_silver(spark: SparkSession, cfg: Config, months: Sequence[str] | None = None) -> None:
+    """Types what is new, then rebuilds the enriched transactions, whose flags look at all rows.
+
+    With ``months`` (``yyyy-MM``) only those months are rewritten; their flags still use the
+    outlier threshold of the whole table.
+    """
     for spec in cfg.specs:
         refine(spark, spec, cfg)
     enriched = silver.enrich_transactions(
         read_silver(spark, cfg, "transactions"),
         latest_rows(read_silver(spark, cfg, "customers"), "customer_id"),
-        latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id"))
+        latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id"),
+    ).withColumn("txn_month", F.date_format("txn_date", "yyyy-MM"))
+    if months is not None:
+        enriched = enriched.where(F.col("txn_month").isin(list(months)))
     # Months become directories; rebalancing splits a month that is too big for one task.
-    (enriched.withColumn("txn_month", F.date_format("txn_date", "yyyy-MM")).hint("rebalance", "txn_month")
-     .write.mode("overwrite").partitionBy("txn_month").parquet(silver_path(cfg, "transactions_enriched")))
+    (enriched.hint("rebalance", "txn_month").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if months is None else "dynamic")
+     .partitionBy("txn_month").parquet(silver_path(cfg, "transactions_enriched")))
 
 
 def build_gold(spark: SparkSession, cfg: Config) -> None:

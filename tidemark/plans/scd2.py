@@ -48,7 +48,7 @@ def scd2_merge(
     place. On equal timestamps the batch wins.
     """
     touched = batch.select(F.col(key).alias("_touched")).distinct()
-    match = F.col(key) == F.col("_touched")
+    match = F.col(key).eqNullSafe(F.col("_touched"))
     untouched = dim.join(touched, match, "left_anti")
     known = dim.join(touched, match, "left_semi").select(
         key, *attrs, F.col("valid_from").alias(ts), F.lit(0).alias("_order"))

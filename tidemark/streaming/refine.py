@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config, IngestSpec
 from tidemark.plans.silver import REQUIRED, split_quarantine, typed_with_flags
+from tidemark.streaming.ingest import PARTITION_MONTH
 
 LOAD = "_load_id"
 
@@ -40,13 +41,18 @@ def refine(spark: SparkSession, spec: IngestSpec, cfg: Config) -> None:
     source = cfg.table_path("bronze", spec.table)
     raw = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
 
+    def save(df: DataFrame, name: str, batch_id: int) -> None:
+        writer = df.write.mode("overwrite")
+        if PARTITION_MONTH in df.columns:
+            # Raw files hold one month each, so this adds no small files and needs no shuffle.
+            writer = writer.partitionBy(PARTITION_MONTH)
+        writer.parquet(f"{silver_path(cfg, name)}/{LOAD}={batch_id}")
+
     def load(batch: DataFrame, batch_id: int) -> None:
         good, bad = split_quarantine(batch, spec.name)
-        typed_with_flags(good, spec.name).write.mode("overwrite").parquet(
-            f"{silver_path(cfg, spec.name)}/{LOAD}={batch_id}")
+        save(typed_with_flags(good, spec.name), spec.name, batch_id)
         if spec.name in REQUIRED:
-            bad.write.mode("overwrite").parquet(
-                f"{silver_path(cfg, spec.name + '_quarantine')}/{LOAD}={batch_id}")
+            save(bad, f"{spec.name}_quarantine", batch_id)
 
     (raw.writeStream.foreachBatch(load).trigger(availableNow=True)
      .option("checkpointLocation", f"{cfg.lake_root}/checkpoints/silver_{spec.name}")
