@@ -129,12 +129,13 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray], id_col: str = "doc
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            told = [judge(t) for t in pdf[text_col]]
-            yield pdf.drop(columns=text_col).assign(lang_pred=[x[0] for x in told], score=[x[1] for x in told])
+            told = [judge(t) for t in pdf["text"]]
+            yield pdf.drop(columns="text").assign(lang_pred=[x[0] for x in told], score=[x[1] for x in told])
 
     if not carry:
-        slim = docs.select(F.col(id_col), F.col(text_col))
-        return slim.mapInPandas(run, f"`{id_col}` {slim.schema[0].dataType.simpleString()}, lang_pred string, score double")
+        slim = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+        told = slim.mapInPandas(run, "id string, lang_pred string, score double")
+        return told.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
     judged = F.pandas_udf(lambda s: pd.DataFrame([judge(t) for t in s], columns=["lang_pred", "score"]),
                           "lang_pred string, score double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, langid, neardup, packing
+from tidemark.llm import decontaminate, exact_dedup, html_text, langid, licenses, neardup, packing, secret_scan, substring_dedup, toxicity
 from tidemark.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,11 +26,35 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.trigram_model(docs)
+    told = toxicity.score(docs, model, toxicity.fit(docs, labels, model))
+    return told.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 1).alias("held_out"), "score",
+                       (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = secret_scan.find_secrets(docs, secret_scan.fit(*secret_scan.samples(docs)))
+    return told.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex",
+                       F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"), secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
     return told.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op6_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = licenses.scan(table(spark, sf_dir, "documents"))
+    return told.withColumnRenamed("id", "doc_id")
+
+
+def op7_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op8_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = langid.profiles(docs.where(langid.training_rows(docs)))
@@ -38,6 +62,12 @@ def op8_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op9_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = substring_dedup.find_repeats(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return told.select(F.col("id").alias("doc_id"), "n_words", "n_spans", "repeated_words", "copied_words", spans.alias("spans"), "repeated")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
     return told.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -46,8 +76,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_channel_toxicity": op3_channel_toxicity,
+    "op4_markov_secrets": op4_markov_secrets,
     "op5_chosen_path": op5_chosen_path,
+    "op6_diagonal_voting": op6_diagonal_voting,
+    "op7_layout_text": op7_layout_text,
     "op8_language_profiles": op8_language_profiles,
+    "op9_gear_chunks": op9_gear_chunks,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
