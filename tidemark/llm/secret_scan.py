@@ -63,16 +63,20 @@ def _transitions(tokens: DataFrame) -> dict[str, int]:
 def fit(random: DataFrame, ordinary: DataFrame) -> list[float]:
     """Log-likelihood ratios of all transitions, random over ordinary, from labelled strings (column ``t``).
 
-    Counts are smoothed by one for each character, so a model without samples is uniform. The list
+    A transition backs off to how often its second character comes at all, and that to a uniform
+    share, so a model without samples is uniform. The list
     is indexed by place(first) * size + place(second); place 0 is a character outside the alphabet.
     """
     size = len(ALPHABET) + 1
     ratio = [0.0] * (size * size)
     for sign, counts in ((1, _transitions(random)), (-1, _transitions(ordinary))):
-        for a, first in enumerate(ALPHABET, 1):
-            total = sum(counts.get(first + second, 0) for second in ALPHABET) + len(ALPHABET)
-            for b, second in enumerate(ALPHABET, 1):
-                ratio[a * size + b] += sign * math.log((counts.get(first + second, 0) + 1) / total)
+        rows = {a: sum(counts.get(a + b, 0) for b in ALPHABET) for a in ALPHABET}
+        second = {b: sum(counts.get(a + b, 0) for a in ALPHABET) + 0.1 for b in ALPHABET}
+        total = sum(second.values())
+        for i, a in enumerate(ALPHABET, 1):
+            for j, b in enumerate(ALPHABET, 1):
+                back = second[b] / total
+                ratio[i * size + j] += sign * math.log((counts.get(a + b, 0) + len(ALPHABET) * back) / (rows[a] + len(ALPHABET)))
     return ratio
 
 

@@ -18,13 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as w64
-from tidemark.llm.common import fold, scratch
+from tidemark.llm.common import fold
+from tidemark.llm.langid import merge_counts
 
 #: Labelled rows that train the score, at most: those whose ids have the smallest hashes.
 TRAIN_ROWS = 20_000
-#: Slots of hashed pieces, and how many of them the score may use.
-SLOTS = 1 << 20
+#: Pieces that the score uses, the surest of those found.
 FEATURES = 4000
+_SIEVE = 1 << 20
+#: Likelihood-ratio statistic from which a piece marks toxic texts, and texts that must have it.
+SURE = 20.0
+LEAST = 4
 PIECE = 5
 THRESHOLD = 0.7
 
@@ -37,10 +41,10 @@ _SWAP, _DRAWN, _MASK, _KEPT, _APART_COST = -1.0, -0.5, -2.5, -6.0, -1.0
 _SIZE = 27
 _BLOCK = 1 << 20
 
-_TRIGGER = re.compile(r"[^\W\d_][0-9@$!|+€]|[0-9@$!|+€][^\W\d_]|([^\W\d_])\1\1|[^\W\d_][*._-][^\W\d_]")
+_TRIGGER = re.compile(r"[^\W\d_](?:[0-9@$!|+€]|[*._-][^\W\d_])|[0-9@$!|+€][^\W\d_]|([^\W\d_])\1\1")
 #: At least four single characters, each apart from the next by the same sign.
 _APART = re.compile(r"(?<![\w@$!])[\w@$!]([ .*_-])(?:[\w@$!]\1){2,}[\w@$!](?![\w@$!])")
-_TOKEN = re.compile(r"\S+")
+_BLANK = re.compile(r"\s")
 _EDGE = "\"'()[]{}<>.,;:?*#%&^~`"
 
 
@@ -135,12 +139,10 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model, self.known = model, {}
 
-    def _word(self, m: re.Match) -> str:
-        token = m[0]
-        if not _TRIGGER.search(token):
-            return token
+    def _word(self, token: str) -> str:
         core = token.strip(_EDGE)
-        core = core.rstrip("!$|+@") if core.rstrip("!$|+@").isalpha() else core
+        bare = core.rstrip("!$|+@")
+        core = bare if bare.isalpha() else core
         if not core or not _TRIGGER.search(core):
             return token
         if core not in self.known:
@@ -153,13 +155,21 @@ class Restorer:
     def restore(self, text: str) -> str:
         """Lower case, with disguised words in plain letters."""
         text = text.lower()
-        if _APART.search(text):
-            text = _APART.sub(lambda m: m[0].replace(m[1], ""), text)
-        return _TOKEN.sub(self._word, text) if _TRIGGER.search(text) else text
+        text = _APART.sub(lambda m: m[0].replace(m[1], ""), text)
+        parts, done = [], 0
+        for m in _TRIGGER.finditer(text):
+            if m.start() < done:
+                continue
+            begin = max(done, *(text.rfind(c, done, m.start()) + 1 for c in " \n\t\r\xa0"))
+            end = _BLANK.search(text, m.end())
+            end = end.start() if end else len(text)
+            parts += text[done:begin], self._word(text[begin:end])
+            done = end
+        return "".join([*parts, text[done:]]) if parts else text
 
 
 def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the five-letter pieces of the words of each text (words padded by a blank), and where each begins."""
+    """63-bit hashes of the five-letter pieces of the words of each text (words padded by a blank), and where each begins."""
     joined = [t.encode("utf-32-le", "surrogatepass") for t in texts]
     gap = "  ".encode("utf-32-le")
     c = np.frombuffer(gap + gap.join(joined) + gap + gap, dtype=np.uint32)
@@ -176,23 +186,28 @@ def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         h = h * np.uint64(0x9E3779B97F4A7C15) + c[k:len(c) - PIECE + 1 + k] + np.uint64(1)
     # Only the ends of a piece may be blanks.
     ok = inside[1:len(c) - 3] & inside[2:len(c) - 2] & inside[3:len(c) - 1]
-    slots = (w64.mix(h) & np.uint64(SLOTS - 1)).astype(np.int64)
+    slots = (w64.mix(h) >> np.uint64(1)).astype(np.int64)
     ends = np.cumsum([len(t) // 4 + 2 for t in joined])
     at = np.flatnonzero(ok)
     return slots[at], np.concatenate([[0], np.searchsorted(at, ends)])
 
 
 class Score(NamedTuple):
-    """A weight for each slot, and the bias."""
+    """Sorted hashes of the pieces that count, their weights, and the bias."""
+    known: np.ndarray
     weights: np.ndarray
     bias: float
 
     def of(self, texts: list[str]) -> np.ndarray:
         slots, offsets = pieces(texts)
-        held = np.flatnonzero(self.weights[slots])
-        text = np.searchsorted(offsets, held, "right") - 1
-        each = np.unique(text * SLOTS + slots[held])
-        total = np.bincount(each // SLOTS, self.weights[each % SLOTS], minlength=len(texts))
+        sieve = np.zeros(_SIEVE, dtype=bool)
+        sieve[self.known & (_SIEVE - 1)] = True
+        held = np.flatnonzero(sieve[slots & (_SIEVE - 1)])
+        at = np.searchsorted(self.known, slots[held])
+        true = self.known[np.minimum(at, len(self.known) - 1)] == slots[held] if len(self.known) else np.zeros(0, dtype=bool)
+        held, at = held[true], at[true]
+        each = np.unique((np.searchsorted(offsets, held, "right") - 1) * (len(self.known) + 1) + at)
+        total = np.bincount(each // (len(self.known) + 1), self.weights[each % (len(self.known) + 1)], minlength=len(texts))
         return 1.0 / (1.0 + np.exp(-np.clip(total + self.bias, -30, 30)))
 
 
@@ -200,10 +215,10 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str = "do
         label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Score:
     """A logistic score from at most ``rows`` labelled rows outside fold 1.
 
-    One pass counts in how many toxic and other texts each slot occurs; the FEATURES slots that mark
-    toxic texts most surely are kept. A second pass gives the rows as lists of kept slots, on which
-    the driver fits the weights. Rows without label or text train nothing; with only one class the
-    score is its share.
+    One pass counts in how many toxic texts each piece occurs, one more in how many others those
+    that at least LEAST have do; the FEATURES pieces that mark toxic texts most surely are kept. The
+    last pass gives the rows as lists of kept pieces, on which the driver fits the weights. Rows
+    without label or text train nothing; with only one class the score is its share.
     """
     spark = docs.sparkSession
     pick = (labels.where((fold(F.col(id_col)) != 1) & F.col(label_col).isNotNull())
@@ -218,28 +233,45 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str = "do
         slots, offsets = pieces([restorer.value.restore(t) for t in texts])
         return [np.unique(slots[lo:hi]) for lo, hi in zip(offsets[:-1], offsets[1:])]
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros((2, SLOTS), dtype=np.int32)
+    def toxic(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
         n = np.zeros(2, dtype=np.int64)
         for pdf in batches:
-            texts = pdf["text"].tolist()
+            bad = pdf["y"].to_numpy() > 0
+            n += [(~bad).sum(), bad.sum()]
+            texts = pdf["text"][bad].tolist()
             for part in w64.blocks(texts, _BLOCK):
-                for y, s in zip(pdf["y"].iloc[part], sets(texts[part])):
-                    seen[int(y > 0), s] += 1
-                    n[int(y > 0)] += 1
-        at = np.flatnonzero(seen.any(axis=0))
-        yield pd.DataFrame({"slot": np.concatenate([at, [-1]]), "n0": np.concatenate([seen[0, at], n[:1]]), "n1": np.concatenate([seen[1, at], n[1:]])})
-    counts = sample.mapInPandas(count, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = scratch(counts, "toxicity-counts")
-    all0, all1 = next(((r["n0"], r["n1"]) for r in counts.where("slot = -1").collect()), (0, 0))
+                found = [merge_counts([*found, np.unique(np.concatenate(sets(texts[part])), return_counts=True)])]
+        yield pd.DataFrame({"slot": [-1], "n0": n[:1], "n1": n[1:]})
+        yield pd.DataFrame({"slot": found[0][0], "n0": 0, "n1": found[0][1]})
+    counts = sample.mapInPandas(toxic, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    seen = counts.where((F.col("slot") == -1) | (F.col("n1") >= LEAST)).toPandas().sort_values("slot")
+    whole = seen[seen["slot"] == -1]
+    all0, all1 = (int(whole["n0"].sum()), int(whole["n1"].sum()))
     if not all0 or not all1:
         share = (all1 + 0.5) / (all0 + all1 + 1)
-        return Score(np.zeros(SLOTS), float(np.log(share / (1 - share))))
-    p1, p0 = F.col("n1") / F.lit(all1), F.col("n0") / F.lit(all0)
-    sure = (p1 - p0) / F.sqrt((p1 * (1 - p1) + F.lit(1 / all1)) / all1 + (p0 * (1 - p0) + F.lit(1 / all0)) / all0)
-    kept = [r["slot"] for r in counts.where((F.col("slot") >= 0) & (F.col("n1") >= 4) & (p1 > 4 * p0)).select("slot", sure.alias("z"))
-            .where("z > 2.5").orderBy(F.desc("z"), "slot").limit(FEATURES).collect()]
-    known = np.sort(np.array(kept, dtype=np.int64))
+        return Score(np.zeros(0, dtype=np.int64), np.zeros(0), float(np.log(share / (1 - share))))
+    seen = seen[seen["slot"] != -1]
+    likely, n1 = seen["slot"].to_numpy(), seen["n1"].to_numpy()
+    shared = spark.sparkContext.broadcast(likely)
+
+    def other(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n0 = np.zeros(len(shared.value), dtype=np.int64)
+        for pdf in batches:
+            texts = pdf["text"][pdf["y"].to_numpy() <= 0].tolist()
+            for part in w64.blocks(texts, _BLOCK):
+                for s in sets(texts[part]):
+                    n0[np.isin(shared.value, s, assume_unique=True)] += 1
+        at = np.flatnonzero(n0)
+        yield pd.DataFrame({"at": at, "n0": n0[at]})
+    n0 = np.zeros(len(likely), dtype=np.int64)
+    for r in sample.mapInPandas(other, "at long, n0 long").groupBy("at").agg(F.sum("n0").alias("n0")).collect():
+        n0[r["at"]] = r["n0"]
+    share, n = all1 / (all0 + all1), n0 + n1
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sure = 2 * (n1 * np.log(n1 / (n * share)) + np.where(n0 > 0, n0 * np.log(n0 / (n * (1 - share))), 0))
+    marks = np.flatnonzero((n1 > 4 * share * n) & (sure >= SURE))
+    known = np.sort(likely[marks[np.argsort(-sure[marks], kind="stable")[:FEATURES]]])
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -248,12 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str = "do
                 held = [np.flatnonzero(np.isin(known, s, assume_unique=True)) for s in sets(texts[part])]
                 yield pd.DataFrame({"y": pdf["y"].iloc[part].to_numpy(), "x": held})
     table = sample.mapInPandas(rows_of, "y int, x array<long>").toPandas()
-    weights = np.zeros(SLOTS)
-    weights[known], bias = _logistic(table["x"].tolist(), (table["y"] > 0).to_numpy(dtype=float), len(known))
-    return Score(weights, bias)
+    weights, bias = _logistic(table["x"].tolist(), (table["y"] > 0).to_numpy(dtype=float), len(known))
+    return Score(known, weights, bias)
 
 
-def _logistic(rows: list[np.ndarray], y: np.ndarray, width: int, ridge: float = 2.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def _logistic(rows: list[np.ndarray], y: np.ndarray, width: int, ridge: float = 0.05, steps: int = 500) -> tuple[np.ndarray, float]:
     """Weights and bias by accelerated gradient descent on sparse 0/1 rows; weights stay at or above zero."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows]) if rows else np.zeros(0, dtype=np.int64)
