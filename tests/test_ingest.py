@@ -180,3 +180,37 @@ def test_scratch_follows_the_session(spark):
     path = scratch_path(spark, "x")
     assert path != scratch_path(spark, "x")
     assert path.startswith(configured) if configured else os.path.isdir(os.path.dirname(path))
+
+
+def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
+    from tidemark.streaming.rescue import csv_headers
+    paths = []
+    for i in range(12):
+        put(str(tmp_path / f"in/f {i}.csv"), "" if i == 3 else "a,b,B" if i % 2 else "\ufeffx,,y", "1,2,3", "4,5,6")
+        paths.append(f"file://{tmp_path}/in/f%20{i}.csv" if i == 5 else str(tmp_path / f"in/f {i}.csv"))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        got = csv_headers(spark, [p for p in paths if "%20" not in p])
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert jobs <= 3
+    assert got[paths[0]] == ("x", "_c1", "y") and got[paths[1]] == ("a", "b1", "B2") and got[paths[3]] == ("1", "2", "3")
+
+
+def test_a_failure_without_message_stops_nobody(spark, tmp_path, monkeypatch):
+    from tidemark.config import Config
+    from tidemark.streaming import ingest as module
+    seen = []
+
+    def broken(spark, spec, cfg, run_id):
+        seen.append(spec.name)
+        raise RuntimeError() if len(seen) == 1 else ValueError("first line\nsecond line")
+    monkeypatch.setattr(module, "ingest", broken)
+    cfg = Config("dev", str(tmp_path / "landing"), str(tmp_path / "lake"))
+    got = module.ingest_all(spark, cfg, "r", strict=False).collect()
+    assert len(seen) == len(cfg.specs) == len(got)
+    assert got[0].error == "RuntimeError" and got[1].error == "first line\nsecond line"
+    with pytest.raises(module.IngestError, match="second line") as caught:
+        module.ingest_all(spark, cfg, "r")
+    assert isinstance(caught.value.__cause__, ExceptionGroup)

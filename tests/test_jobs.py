@@ -43,12 +43,13 @@ def lake(spark, tmp_path_factory):
 
 def test_typed_and_rejected_rows_are_all_rows_once(spark, lake):
     good, bad = read_silver(spark, lake, "transactions"), read_silver(spark, lake, "transactions_quarantine")
-    assert sorted(r.transaction_id for r in good.collect()) == ["t1", "t2", "t5", "t6"]
+    assert sorted(r.transaction_id for r in good.collect()) == ["t1", "t2", "t3", "t5", "t6"]
     assert {r.transaction_id: r.reject_reasons for r in bad.collect()} == {
-        "t3": ["missing_customer_id"], "t4": ["bad_amount"]}
+        "t4": ["bad_amount"]}
+    assert [r.transaction_id for r in good.where("is_missing_customer").collect()] == ["t3"]
     assert {r._pipeline_run_id for r in good.collect()} == {"run-1", "run-2"}
     broken = read_silver(spark, lake, "device_session_logs_quarantine").first()
-    assert broken.reject_reasons == ["missing_session_id", "missing_customer_id"] and "broken" in broken._rescued_data
+    assert broken.reject_reasons == ["missing_session_id"] and "broken" in broken._rescued_data
     assert read_silver(spark, lake, "merchants").first().merchant_risk_score is None
 
 
@@ -57,11 +58,11 @@ def test_marts_after_two_runs(spark, lake):
         return spark.read.parquet(jobs.gold_path(lake, name))
 
     assert {r.customer_id: r.kyc_status for r in table("dim_customer").collect()} == {"c1": "verified", "c2": "verified"}
-    assert table("fact_transactions").count() == 4
+    assert table("fact_transactions").count() == 5
     assert table("dim_date").count() == 32
     got = {(r.merchant_id, str(r.txn_date)): (r.txns, r.net_amount, r.returned)
            for r in table("merchant_performance_daily").collect()}
-    assert got[("m1", "2026-03-01")] == (2, 6.0, 1)
+    assert got[("m1", "2026-03-01")] == (3, 7.0, 1)
     card = {r.customer_id: (r.txns, r.amount) for r in table("customer_risk_scorecard").collect()}
     assert card == {"c1": (2, 6.0), "c2": (1, 20.0)}
     assert all(table(name).count() > 0 for name in jobs.GOLD_TABLES)

@@ -252,7 +252,7 @@ def fixes(spark):
     ], FIX)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(1, 1, 1, 5)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(1, 1, 1)])
 def test_velocity_pairs(spark, policy):
     pairs = velocity.velocity_pairs(fixes(spark), "k", "t", "id", "lat", "lng", ["acc"], policy)
     got = {r.id: r for r in pairs.collect()}
@@ -296,3 +296,16 @@ def test_threshold_rules(spark):
         spark.createDataFrame(rows, "metric string, observed double"), tolerance=1.0).collect()}
     assert got == {"orphan_rate_pct": "FAIL", "pre_signup_rate_pct": "ALERT", "geo_velocity_anomaly_rate_pct": "OK",
                    "amount_outlier_rate_pct": "ALERT", "unheard_of": "N/A"}
+
+
+def test_array_and_map_columns_are_compared_with_their_nulls(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, array(1, null), map('a', 1)), (1, array(1), map('a', 1)), (2, array(3), map('a', null)),
+        (2, array(3), map('b', null)), (3, array(4), map('c', 1)), (3, array(4), map('c', 1)) AS t(k, x, m)""")
+    got = {(r.metric, r.column_name): r.value for r in profile.profile(df, ["k"]).collect()}
+    assert 1 in [v for (metric, _), v in got.items() if "dup" in metric and "row" in metric]
+
+
+def test_sums_of_very_large_amounts(spark):
+    df = spark.createDataFrame([("a", 1e17), ("a", 3e17), ("b", 0.001), ("b", 0.003), ("c", 1e30)], "d string, x double")
+    got = {r.d: r.avg_amount for r in distribution.outlier_breakdown(df, "d", "x").collect()}
+    assert got["a"] == 2e17 and got["b"] == 0.0 and got["c"] is None

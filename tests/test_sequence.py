@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators.sequence import SkewPolicy, heavy_key_cuts, with_neighbor
 
-CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cell_rows=20, max_keys=20)
+CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cell_rows=20)
 
 
 def data(seed=3, n=900):
@@ -30,7 +30,7 @@ def brute(rows, forward):
 
 
 @pytest.mark.parametrize("forward", [False, True])
-@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 5, 2), SkewPolicy(10, 4, 100, 1)])
+@pytest.mark.parametrize("policy", [SkewPolicy(), CUT_ALL, SkewPolicy(10, 2, 5), SkewPolicy(10, 4, 100)])
 def test_neighbours_do_not_depend_on_cuts(spark, forward, policy):
     rows = data()
     df = spark.createDataFrame(rows, "k int, t int, i int, v string").repartition(5)
@@ -45,17 +45,41 @@ def test_string_keys_and_empty_string_is_not_null(spark):
     rows = [("", 1, 1), ("", 2, 2), (None, 1, 3), (None, 5, 4), ("a", 1, 5)] * 1
     df = spark.createDataFrame(rows, "k string, t int, i int")
     got = {r.i: r.n.i if r.n else None
-           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 1, 10)).collect()}
+           for r in with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(0, 1, 1)).collect()}
     assert got == {1: None, 2: 1, 3: None, 4: 3, 5: None}
 
 
 def test_only_heavy_keys_are_cut_and_cuts_are_bounded(spark):
     df = spark.createDataFrame(data(), "k int, t int, i int, v string")
-    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 10, 20)).collect()
+    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 10)).collect()
     assert [c._key for c in cuts] == [1]
     # 300 rows in cells of about ten.
-    assert 15 <= len(cuts[0].fine) <= 60
-    assert len(heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(1, 1, 10, 3)).collect()) == 3
+    assert 15 <= len(cuts[0].points) <= 60
+
+
+def cells(df, policy, order=("t", "i")):
+    """Rows per (key, cell) as the window sees them."""
+    from tidemark.operators.sequence import _with_cell, _with_plain_key
+    cuts = heavy_key_cuts(df, "k", list(order), policy)
+    placed = _with_cell(_with_plain_key(df, "k").join(cuts, ["_key", "_unkeyed"], "left"), list(order))
+    return [r["count"] for r in placed.groupBy("_key", "_unkeyed", "_cell").count().collect()]
+
+
+def test_every_heavy_key_is_cut(spark):
+    """Many more heavy keys than any constant in the module."""
+    df = spark.range(60_000).selectExpr("CAST(id % 1500 AS INT) AS k", "CAST(id AS INT) AS t", "CAST(id AS INT) AS i")
+    assert max(cells(df, SkewPolicy(20, 1, 5))) <= 8
+
+
+@pytest.mark.parametrize("time", ["0", "NULL", "IF(id % 1000 = 0, 2000000000, id)", "IF(id % 3 = 0, NULL, id % 7)"])
+def test_cells_are_even_whatever_the_times(spark, time):
+    """All rows at one time or at none, far outliers, few distinct values."""
+    df = spark.range(40_000).selectExpr("1 AS k", f"CAST({time} AS INT) AS t", "CAST(id AS INT) AS i")
+    policy = SkewPolicy(1000, 1, 1000)
+    assert max(cells(df, policy)) <= 2000
+    got = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=policy)
+    plain = with_neighbor(df, "k", ["t", "i"], ["i"], "n")
+    assert got.select("i", "n.i").exceptAll(plain.select("i", "n.i")).isEmpty() and got.count() == 40_000
 
 
 def test_heavy_key_is_spread_over_window_groups(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import OUTLIER_QUANTILE
@@ -10,12 +10,14 @@ from tidemark.functions.casts import count_when
 from tidemark.operators.quantiles import exact_quantiles, quantile
 
 MONEY = "decimal(18,2)"
+#: For sums over any measure; values beyond it (from 1e24) are left out instead of failing.
+_EXACT = "decimal(30,6)"
 
 
 def money_sum(col: Column | str) -> Column:
-    """Cent-exact sum as a double: independent of the order in which tasks finish."""
+    """Exact sum to six places as a double: independent of the order in which tasks finish."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.sum(col.cast(MONEY)).cast("double")
+    return F.sum(col.try_cast(_EXACT)).cast("double")
 
 
 def amount_stats(df: DataFrame, col: str, outlier_p: float | None = None) -> DataFrame:
@@ -81,21 +83,14 @@ def heavy_share(df: DataFrame, key: str, top: float = 0.2) -> DataFrame:
     """
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     by_count = per_key.groupBy("n").agg(F.count(F.lit(1)).alias("keys"))
-    packed = by_count.agg(
-        F.sum("keys").alias("all_keys"),
-        F.sum(F.col("n") * F.col("keys")).alias("all_rows"),
-        F.sort_array(F.collect_list(F.struct("n", "keys")), asc=False).alias("hist"),
-    ).withColumn("wanted", F.greatest(F.lit(1), F.floor(F.col("all_keys") * F.lit(top).cast("decimal(9,6)"))).cast("bigint"))
-    start = F.struct(F.lit(0).cast("bigint").alias("keys"), F.lit(0).cast("bigint").alias("n"))
-
-    def take(acc: Column, h: Column) -> Column:
-        used = F.least(h["keys"], F.col("wanted") - acc["keys"])
-        return F.struct((acc["keys"] + used).alias("keys"), (acc["n"] + used * h["n"]).alias("n"))
-
-    return packed.withColumn("taken", F.aggregate("hist", start, take)).select(
-        F.col("all_keys"), F.col("wanted").alias("heavy_keys"), F.col("all_rows"),
-        F.col("taken.n").alias("heavy_rows"),
-        F.round(F.col("taken.n") / F.col("all_rows"), 6).alias("heavy_share"),
+    totals = by_count.agg(F.struct(
+        F.coalesce(F.sum("keys"), F.lit(0)).alias("keys"), F.sum(F.col("n") * F.col("keys")).alias("rows"))).scalar()
+    wanted = F.greatest(F.lit(1), F.floor(totals["keys"] * F.lit(top).cast("decimal(9,6)"))).cast("bigint")
+    before = F.coalesce(F.sum("keys").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = by_count.withColumn("taken", F.least(F.col("keys"), F.greatest(wanted - before, F.lit(0))) * F.col("n"))
+    return ranked.agg(F.coalesce(F.sum("taken"), F.lit(0)).alias("heavy_rows")).select(
+        totals["keys"].alias("all_keys"), wanted.alias("heavy_keys"), totals["rows"].alias("all_rows"), "heavy_rows",
+        F.round(F.col("heavy_rows") / totals["rows"], 6).alias("heavy_share"),
     )
 
 
@@ -113,7 +108,7 @@ def flag_outliers(df: DataFrame, col: str, p: float = OUTLIER_QUANTILE) -> DataF
 
 def round_amounts(outliers: DataFrame, col: str) -> DataFrame:
     """One row: rows, amounts divisible by 1000, amounts divisible by 100 but not by 1000."""
-    cents = F.col(col).cast(MONEY)
+    cents = F.round(F.col(col).try_cast(_EXACT), 2)
     return outliers.agg(
         F.count(F.lit(1)).alias("n"),
         count_when(cents % 1000 == 0).alias("round_1000"),
@@ -127,7 +122,7 @@ def outlier_breakdown(outliers: DataFrame, dim: str, col: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.round(F.min(col), 2).alias("min_amount"),
         F.round(F.max(col), 2).alias("max_amount"),
-        F.round(money_sum(col) / F.count(col), 2).alias("avg_amount"),
+        F.round(money_sum(col) / F.count(F.col(col).try_cast(_EXACT)), 2).alias("avg_amount"),
     )
 
 

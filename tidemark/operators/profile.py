@@ -37,6 +37,13 @@ def _null_masks(names: Sequence[str]) -> list[Column]:
     return masks
 
 
+def _hashable(name: str, dtype: T.DataType) -> Column:
+    """A hash skips nulls inside arrays and takes no maps: both are compared as JSON that shows nulls."""
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return F.to_json(F.col(name), {"ignoreNullFields": "false"})
+    return F.col(name)
+
+
 def profile(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """(metric, column_name, value): rows, full-row duplicates, key duplicates, nulls per column.
 
@@ -45,7 +52,7 @@ def profile(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """
     leaves = list(_leaves(df.schema))
     names = [name for name, _ in leaves]
-    scalars = [F.col(name) for name, dtype in leaves if not isinstance(dtype, T.StructType)]
+    scalars = [_hashable(name, dtype) for name, dtype in leaves if not isinstance(dtype, T.StructType)]
     masks = _null_masks(names)
     mask_names = [f"_m{i}" for i in range(len(masks))]
     keys = [f"_k{i}" for i in range(len(pk))]

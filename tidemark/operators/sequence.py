@@ -1,10 +1,11 @@
 """The previous or next row of each key, also where one key holds a large part of the table.
 
 A plain window puts a whole key into one task. Keys that are too heavy for that are cut along
-their order column into many cells of similar size; the window then works per (key, cell), and
+their order columns into many cells of similar size; the window then works per (key, cell), and
 only the first row of each cell takes its neighbour from a small table of cell edges. Cut points
 come from a hash sample and steer nothing but the distribution: the result does not depend on
-them.
+them. They are whole order values, tie-breaker included, so rows that share a time, or have none,
+are cut as well.
 """
 
 from __future__ import annotations
@@ -14,28 +15,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.session import scratch_path
 
 _MIN_CELLS = 16
-_MAX_SLOTS = 2048
+#: Sampled points per cut point: cells differ in size by about 1 / sqrt(OVERSAMPLE).
+_OVERSAMPLE = 16
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When and how finely heavy keys are cut.
 
-    ``heavy_rows``: estimated rows above which a key is cut.
+    ``heavy_rows``: estimated rows above which a key is cut, however many such keys there are.
     ``sample_every``: one row in so many is hashed into the estimate.
-    ``cell_rows``: rows a cell should hold at most, so that cells stay the same size while the
-    table grows. All cut points together number about rows / cell_rows: 4 MB per 10^12 rows.
-    ``max_keys``: at most so many keys are cut, heaviest first. Every key beyond them holds less
-    than 1/max_keys of the rows, which a plain window task can take.
+    ``cell_rows``: rows a cell should hold, so that cells stay the same size while the table grows.
     """
 
     heavy_rows: int = 4_000_000
     sample_every: int = 1024
     cell_rows: int = 2_000_000
-    max_keys: int = 1000
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -49,63 +48,43 @@ def _with_plain_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(_key, _unkeyed, fine, low, width, slots, before): cut points of the heaviest keys, at most ``max_keys`` rows.
+    """(_key, _unkeyed, points): sorted cut points of every heavy key, written to the shared folder.
 
-    Everything here is a function of the rows alone, so two evaluations give the same cut points.
+    Everything here is a function of the rows alone. Written once, the table has a known size, so
+    Spark broadcasts it only while it is small.
     """
     keyed = _with_plain_key(df, key)
     sampled = keyed.selectExpr(
-        "_key", "_unkeyed", f"{order[0]} AS at", f"xxhash64(_key, {', '.join(order)}) AS h",
+        "_key", "_unkeyed", f"struct({', '.join(order)}) AS at", f"xxhash64(_key, {', '.join(order)}) AS h",
     ).where(f"pmod(h, {policy.sample_every}) = 0")
+    cells = f"greatest({_MIN_CELLS}, seen * {policy.sample_every} / {policy.cell_rows})"
     heavy = (
         sampled.groupBy("_key", "_unkeyed").agg(F.expr("count(1) AS seen"))
         .where(f"seen * {policy.sample_every} > {policy.heavy_rows}")
-        .orderBy(F.desc("seen"), "_key", "_unkeyed").limit(policy.max_keys)
-        .selectExpr("_key", "_unkeyed", "greatest(1, floor(seen / greatest("
-                    f"{_MIN_CELLS}, seen * {policy.sample_every} / {policy.cell_rows}))) AS thin")
+        .selectExpr("_key", "_unkeyed", f"CAST(greatest(1, floor(seen / ({cells} * {_OVERSAMPLE}))) AS BIGINT) AS thin",
+                    f"CAST({cells} AS BIGINT) AS cells")
     )
-    # The sample is thinned to the wanted number of points per key.
     points = (
-        sampled.join(F.broadcast(heavy), ["_key", "_unkeyed"])
-        .where("pmod(shiftright(h, 12), thin) = 0")
-        .groupBy("_key", "_unkeyed").agg(F.expr("array_sort(collect_set(at)) AS fine"))
+        sampled.join(heavy, ["_key", "_unkeyed"]).where("pmod(shiftright(h, 12), thin) = 0")
+        .groupBy("_key", "_unkeyed").agg(F.expr("array_sort(collect_set(at)) AS found"), F.expr("max(cells) AS cells"))
+        .selectExpr("_key", "_unkeyed", "found", "CAST(greatest(1, size(found) div cells) AS INT) AS every")
+        # Every so many of the sorted points: cells of nearly equal counts wherever the values lie.
+        .selectExpr("_key", "_unkeyed", "filter(found, (x, i) -> i % every = every - 1) AS points")
     )
-    # A table of equal-width slots that says how many points lie before each slot, so that a row
-    # finds its cell by one division and a look at the few points of its own slot.
-    at = _position("c", df.schema[order[0]].dataType)
-    return points.selectExpr(
-        "*", f"transform(fine, c -> {at}) AS spots", f"least(greatest(size(fine) div 4, 16), {_MAX_SLOTS}) AS slots",
-    ).selectExpr(
-        "_key", "_unkeyed", "fine", "spots", "slots", "get(spots, 0) AS low",
-        "greatest((get(spots, size(spots) - 1) - get(spots, 0)) / slots, 1e-9) AS width",
-    ).selectExpr(
-        "_key", "_unkeyed", "fine", "low", "width", "slots",
-        f"transform(sequence(0, CAST(slots AS INT)), s -> size(filter(spots, x -> {_slot('x')} < s))) AS before")
-
-
-def _position(at: str, dtype: T.DataType) -> str:
-    """The order value as a double that never decreases while the value grows, in any time zone."""
-    if isinstance(dtype, T.TimestampNTZType):
-        return (f"CAST(datediff(CAST({at} AS DATE), DATE'1970-01-01') AS DOUBLE) * 86400"
-                f" + hour({at}) * 3600 + minute({at}) * 60 + second({at})")
-    if isinstance(dtype, T.TimestampType):
-        return f"CAST(unix_seconds({at}) AS DOUBLE)"
-    if isinstance(dtype, T.DateType):
-        return f"CAST(unix_date({at}) AS DOUBLE)"
-    return f"CAST({at} AS DOUBLE)"
-
-
-def _slot(position: str) -> str:
-    return f"CAST(least(greatest(floor(({position} - low) / width), 0), slots - 1) AS INT)"
-
-
-def _with_cell(df: DataFrame, at: str) -> DataFrame:
-    """Adds _cell, the number of cut points strictly below the order value; 0 for uncut keys."""
-    slotted = df.withColumn("_slot", F.expr(_slot(_position(at, df.schema[at].dataType))))
-    return slotted.withColumn("_cell", F.expr(
-        f"CASE WHEN fine IS NULL OR {at} IS NULL THEN 0 ELSE before[_slot] + size(filter("
-        f"slice(fine, before[_slot] + 1, before[_slot + 1] - before[_slot]), c -> c < {at})) END"
-    )).drop("fine", "before", "low", "width", "slots", "_slot")
+    path = scratch_path(df.sparkSession, "cuts")
+    points.write.parquet(path)
+    return df.sparkSession.read.schema(points.schema).parquet(path)
+
+
+def _with_cell(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Adds _cell, the number of cut points strictly below the row, by binary search; 0 for uncut keys."""
+    middle = "CAST((s.lo + s.hi) div 2 AS INT)"
+    search = (
+        "aggregate(sequence(1, CAST(ceil(log2(size(points) + 1)) AS INT)), named_struct('lo', 0, 'hi', size(points)),"
+        f" (s, i) -> CASE WHEN s.lo >= s.hi THEN s WHEN get(points, {middle}) < _at"
+        f" THEN named_struct('lo', {middle} + 1, 'hi', s.hi) ELSE named_struct('lo', s.lo, 'hi', {middle}) END, s -> s.lo)")
+    placed = df.withColumn("_at", F.struct(*order))
+    return placed.withColumn("_cell", F.expr(f"CASE WHEN points IS NULL OR size(points) = 0 THEN 0 ELSE {search} END")).drop("_at", "points")
 
 
 def with_neighbor(
@@ -120,23 +99,25 @@ def with_neighbor(
 ) -> DataFrame:
     """Adds struct column ``into`` with ``cols`` of the previous (or next) row of the same key.
 
-    ``order`` must be a total order within the key; its first column is a number, date or
-    timestamp. The struct is null where there is no neighbour. ``cuts`` reuses the result of
-    :func:`heavy_key_cuts` on an input from which ``df`` was derived.
+    ``order`` must be a total order within the key; nulls come first. The struct is null where there
+    is no neighbour. ``cuts`` reuses the result of :func:`heavy_key_cuts` on an input from which
+    ``df`` was derived, by the same order columns. Finding the heavy keys runs one narrow job.
     """
     keyed = _with_plain_key(df, key)
     if cuts is None:
         cuts = heavy_key_cuts(df, key, order, policy)
     payload = F.struct(*cols)
-    place = ["_key", "_unkeyed", "_cell"]
-
-    # At most max_keys rows by construction, hence a safe broadcast.
-    placed = _with_cell(keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "left"), order[0])
     step = F.lead if forward else F.lag
+    if cuts.isEmpty():
+        whole = Window.partitionBy("_key", "_unkeyed").orderBy(*order)
+        return keyed.withColumn(into, step(payload, 1).over(whole)).drop("_key", "_unkeyed")
+
+    place = ["_key", "_unkeyed", "_cell"]
+    placed = _with_cell(keyed.join(cuts, ["_key", "_unkeyed"], "left"), order)
     local = placed.withColumn(into, step(payload, 1).over(Window.partitionBy(*place).orderBy(*order)))
 
     # One edge row per cell of a cut key: what the rows on the other side of the edge see.
-    heavy_rows = _with_cell(keyed.join(F.broadcast(cuts), ["_key", "_unkeyed"], "inner"), order[0])
+    heavy_rows = _with_cell(keyed.join(cuts, ["_key", "_unkeyed"]), order)
     edge_of = F.min if forward else F.max
     edges = (
         heavy_rows.groupBy(*place)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.config import LOW_ACCURACY_M, MAX_SPEED_KMH
 from tidemark.functions.casts import count_when
 from tidemark.functions.geo import elapsed_hours, haversine_km
+from tidemark.operators.quantiles import quantile
 from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, with_neighbor
+from tidemark.session import scratch_path
 
 
 def with_speed(
@@ -43,14 +45,21 @@ def impossible(pairs: DataFrame, max_kmh: float = MAX_SPEED_KMH) -> DataFrame:
 
 
 def accuracy_stats(pairs: DataFrame, accuracy: str = "accuracy_m") -> DataFrame:
-    """One row on positional accuracy, with the number of pairs that carry none."""
-    a = F.col(accuracy)
+    """One row on positional accuracy, with the number of pairs that carry none; the median is exact.
+
+    The accuracies are written to the shared folder, so that the passes for the median do not look
+    for the pairs again.
+    """
+    spark, path = pairs.sparkSession, scratch_path(pairs.sparkSession, "accuracy")
+    slim = pairs.select(accuracy)
+    slim.write.parquet(path)
+    pairs, a = spark.read.schema(slim.schema).parquet(path), F.col(accuracy)
     return pairs.agg(
         F.count(F.lit(1)).alias("pairs"),
         count_when(a.isNull()).alias("missing"),
         F.min(a).alias("min_m"), F.max(a).alias("max_m"),
         F.round(F.avg(a), 1).alias("mean_m"),
-        F.percentile_approx(a, 0.5, 100_000).alias("median_m"),
+        F.first(quantile(pairs, accuracy, 0.5)).alias("median_m"),
         count_when(a > 1000).alias("over_1km"),
         count_when(a > 5000).alias("over_5km"),
         count_when(a > 10000).alias("over_10km"),

@@ -166,6 +166,7 @@ def _pairs(source: str) -> str:
             WINDOW w AS (PARTITION BY customer_id ORDER BY event_timestamp, session_id)))"""
 
 
+ROLES["enriched_all"] = ROLES["enriched"].replace("customers_incomplete", "customers")
 ROLES["timed_clean"] = _pairs("clean_sessions")
 ROLES["timed_dirty"] = _pairs("sessions")
 ROLES["fast_clean"] = "SELECT * FROM timed_clean WHERE prev_ts IS NOT NULL AND speed_kmh > 900"
@@ -357,7 +358,6 @@ def _card_lines() -> str:
 
 _REASONS_TXN = """concat_ws(',',
     CASE WHEN transaction_id IS NULL THEN 'missing_transaction_id' END,
-    CASE WHEN customer_id IS NULL THEN 'missing_customer_id' END,
     CASE WHEN txn_timestamp IS NOT NULL AND p_ts IS NULL THEN 'bad_txn_timestamp' END,
     CASE WHEN amount IS NOT NULL AND p_amount IS NULL THEN 'bad_amount' END,
     CASE WHEN mcc_code IS NOT NULL AND p_mcc IS NULL THEN 'bad_mcc_code' END,
@@ -375,7 +375,7 @@ _SCD2 = f"""
     WHERE prev IS NULL OR prev <> event_type WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""
 
 _MONTHLY = """SELECT channel, strftime(txn_date, '%Y-%m') AS month, count(*) AS txns,
-    CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM enriched GROUP BY 1, 2"""
+    CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM enriched_all GROUP BY 1, 2"""
 
 _FAST = "fast_clean"
 
@@ -572,16 +572,15 @@ _BODIES = {
         CAST(mcc_code AS BIGINT) AS mcc_code, category, country, {day('onboarding_date')} AS onboarding_date,
         CASE WHEN merchant_id % 7 <> 0 THEN CAST(CAST(merchant_risk_score AS DECIMAL(18,4)) AS DOUBLE) END
           AS merchant_risk_score FROM merchants""",
-    "silver_sessions": f"""SELECT CAST(session_id AS VARCHAR) AS session_id, CAST(customer_id AS VARCHAR) AS customer_id,
+    "silver_sessions": f"""SELECT CAST(session_id AS VARCHAR) AS session_id,
+        CASE WHEN session_id % 73 <> 0 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
         {micro("date_trunc('second', event_timestamp)")} AS event_timestamp, lat FROM sessions
-        WHERE session_id % 71 <> 0 AND session_id % 73 <> 0""",
+        WHERE session_id % 71 <> 0""",
     "quarantine_sessions": """SELECT CAST(session_id AS VARCHAR) AS session_id,
         CASE WHEN session_id % 73 <> 0 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
         CASE WHEN session_id % 71 = 0 THEN 'late' ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') END
           AS event_timestamp,
-        concat_ws(',', CASE WHEN session_id % 73 = 0 THEN 'missing_customer_id' END,
-          CASE WHEN session_id % 71 = 0 THEN 'bad_event_timestamp' END) AS reject_reasons
-        FROM sessions WHERE session_id % 71 = 0 OR session_id % 73 = 0""",
+        'bad_event_timestamp' AS reject_reasons FROM sessions WHERE session_id % 71 = 0""",
     "quarantine_transactions": f"""SELECT * FROM (SELECT transaction_id, customer_id, amount, txn_date,
         {_REASONS_TXN} AS reject_reasons FROM parsed) WHERE reject_reasons <> ''""",
     "quarantine_customers": f"""SELECT * FROM (SELECT full_name, dob, signup_date, {_REASONS_CUST} AS reject_reasons
@@ -608,20 +607,21 @@ _BODIES = {
           INTERVAL 1 DAY)) AS DATE) AS d FROM transactions)""",
     "fact_transactions": f"""SELECT transaction_id, customer_id, merchant_id, {day('txn_date')} AS txn_date, channel,
         status, currency, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, txn_type = 'refund' AS is_returned,
-        is_fraud_flag, is_amount_outlier, is_negative_amount, is_signup_date_suspect, is_orphan_customer, is_orphan_merchant FROM enriched""",
+        is_fraud_flag, is_amount_outlier, is_negative_amount, is_signup_date_suspect, customer_id IS NULL AS is_missing_customer,
+        is_orphan_customer, is_orphan_merchant, is_unknown_mcc FROM enriched_all""",
     "daily_fraud_summary": f"""SELECT {day('txn_date')} AS txn_date, count(*) AS txns,
         CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount,
         count(*) FILTER (WHERE is_fraud_flag) AS flagged_txns,
         CAST(sum(CASE WHEN is_fraud_flag THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS flagged_amount,
         round(count(*) FILTER (WHERE is_fraud_flag) / count(*), 6) AS flagged_rate, '{LABEL_CAVEAT}' AS label_caveat
-        FROM enriched GROUP BY enriched.txn_date""",
+        FROM enriched_all GROUP BY enriched_all.txn_date""",
     "customer_risk_scorecard": f"""SELECT c.customer_id, c.segment, c.risk_band, c.kyc_status,
         count(e.transaction_id) AS txns,
         coalesce(CAST(sum(CAST(e.amount AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS amount,
         count(*) FILTER (WHERE e.is_fraud_flag) AS flagged_txns,
         count(*) FILTER (WHERE e.is_amount_outlier) AS outlier_txns,
         count(*) FILTER (WHERE e.is_signup_date_suspect) AS pre_signup_txns, '{LABEL_CAVEAT}' AS label_caveat
-        FROM customers c LEFT JOIN enriched e ON c.customer_id = e.customer_id GROUP BY ALL""",
+        FROM customers c LEFT JOIN enriched_all e ON c.customer_id = e.customer_id GROUP BY ALL""",
     "merchant_performance_daily": f"""SELECT merchant_id, {day('txn_date')} AS txn_date, count(*) AS txns,
         CAST(sum(amount) AS DOUBLE) AS net_amount, count(*) FILTER (WHERE is_returned) AS returned,
         round(count(*) FILTER (WHERE is_returned) / count(*), 6) AS return_rate
@@ -657,3 +657,4 @@ SQL["heavy_share_transactions"] = _heavy(
     "(SELECT CASE WHEN o_orderkey % 503 <> 0 THEN o_custkey END AS customer_id FROM orders)", "customer_id")
 SQL["scd2_history"] = _SCD2
 SQL["scd2_merged"] = _SCD2
+SQL["scd2_merged_late"] = _SCD2

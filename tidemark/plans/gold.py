@@ -12,7 +12,7 @@ from tidemark.operators.timeline import day_spine
 
 FLAGS = (
     "is_fraud_flag", "is_amount_outlier", "is_negative_amount",
-    "is_signup_date_suspect", "is_orphan_customer", "is_orphan_merchant",
+    "is_signup_date_suspect", "is_missing_customer", "is_orphan_customer", "is_orphan_merchant", "is_unknown_mcc",
 )
 
 

@@ -39,42 +39,44 @@ def scd2(
 
 
 def scd2_merge(
-    dim: DataFrame, batch: DataFrame, key: str, attrs: Sequence[str], ts: str,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    dim: DataFrame, log: DataFrame, touched: DataFrame, key: str, attrs: Sequence[str], ts: str,
+    tie: str | None = None, policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """The dimension after a batch of observations. Keys without news pass through unchanged.
+    """The dimension after news about the keys of ``touched``; other keys pass through unchanged.
 
-    Touched keys are rebuilt from their versions plus the batch, so late observations find their
-    place. On equal timestamps the batch wins.
+    Touched keys are rebuilt from ``log``, all their observations so far. Versions alone would not
+    do: a late row may fall between two repeats of one value, of which the dimension shows one.
     """
-    touched = batch.select(F.col(key).alias("_touched")).distinct()
+    keys = touched.select(F.col(key).alias("_touched")).distinct()
     match = F.col(key).eqNullSafe(F.col("_touched"))
-    untouched = dim.join(touched, match, "left_anti")
-    known = dim.join(touched, match, "left_semi").select(
-        key, *attrs, F.col("valid_from").alias(ts), F.lit(0).alias("_order"))
-    news = batch.select(key, *attrs, ts, F.lit(1).alias("_order"))
-    rebuilt = scd2(known.unionByName(news), key, attrs, ts, "_order", policy)
-    return untouched.unionByName(rebuilt)
+    untouched = dim.join(keys, match, "left_anti")
+    return untouched.unionByName(scd2(log.join(keys, match, "left_semi"), key, attrs, ts, tie, policy))
 
 
 def current_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete state written by :func:`merge_batch`."""
-    versions = spark.read.parquet(path)
-    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    newest = spark.read.parquet(f"{path}/current").first()["version"]
+    return spark.read.parquet(f"{path}/version={newest}")
 
 
-def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str):
+def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str, tie: str | None = None):
     """A ``foreachBatch`` function that maintains the dimension below ``path``.
 
-    Batch n reads state n-1 and overwrites state n, so a repeated batch changes nothing.
+    Batch n adds its observations to the log, reads state n-1, writes state n and then names it in
+    ``current``; a repeated batch changes nothing. Two states are enough to go on from; older ones
+    may be removed at any time.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        columns = list(dict.fromkeys([key, *attrs, ts, *([tie] if tie else [])]))
+        batch.select(*columns).write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        news = spark.read.parquet(f"{path}/log/batch={batch_id}")
         if batch_id == 0:
-            state = scd2(batch, key, attrs, ts)
+            state = scd2(news, key, attrs, ts, tie)
         else:
-            previous = spark.read.parquet(f"{path}/version={batch_id - 1}")
-            state = scd2_merge(previous, batch, key, attrs, ts)
+            log = spark.read.parquet(f"{path}/log").where(F.col("batch") <= batch_id).drop("batch")
+            state = scd2_merge(spark.read.parquet(f"{path}/version={batch_id - 1}"), log, news, key, attrs, ts, tie)
         state.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
 
     return apply

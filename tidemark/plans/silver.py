@@ -19,11 +19,11 @@ TYPES: dict[str, dict[str, str]] = {
     "device_session_logs": {"event_timestamp": "timestamp"},
 }
 
-# Columns without which a row cannot be used.
+# Keys without which a row cannot be used. A missing foreign key is a fact about the row, not a reason to lose it.
 REQUIRED: dict[str, tuple[str, ...]] = {
     "customers": ("customer_id",),
-    "transactions": ("transaction_id", "customer_id"),
-    "device_session_logs": ("session_id", "customer_id"),
+    "transactions": ("transaction_id",),
+    "device_session_logs": ("session_id",),
 }
 
 
@@ -59,7 +59,8 @@ def split_quarantine(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]
 def typed_with_flags(good: DataFrame, dataset: str) -> DataFrame:
     """Flags that depend on the row alone."""
     if dataset == "transactions":
-        return good.withColumn("is_negative_amount", F.coalesce(F.col("amount") < 0, F.lit(False)))
+        return good.withColumns({"is_negative_amount": F.coalesce(F.col("amount") < 0, F.lit(False)),
+                                 "is_missing_customer": F.col("customer_id").isNull()})
     return good
 
 
@@ -107,6 +108,7 @@ def enrich_transactions(transactions: DataFrame, customers: DataFrame, merchants
     return joined.withColumns({
         "is_negative_amount": F.coalesce(F.col("amount") < 0, F.lit(False)),
         "is_signup_date_suspect": F.coalesce(F.col("txn_date") < F.col("signup_date"), F.lit(False)),
+        "is_missing_customer": F.col("customer_id").isNull(),
         "is_orphan_customer": F.col("customer_id").isNotNull() & F.col("_cust").isNull(),
         "is_orphan_merchant": F.col("merchant_id").isNotNull() & F.col("_merch").isNull(),
         "is_unknown_mcc": F.col("mcc_code").isNotNull() & F.col("_code").isNull(),

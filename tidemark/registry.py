@@ -635,14 +635,13 @@ def quarantine_customers(spark, d):
         "full_name", "dob", "signup_date", "reject_reasons")
 
 
-def _enriched(spark, d):
-    return silver.enrich_transactions(
-        roles.transactions(spark, d), roles.customers_incomplete(spark, d), roles.merchants(spark, d))
+def _enriched(spark, d, customers=roles.customers):
+    return silver.enrich_transactions(roles.transactions(spark, d), customers(spark, d), roles.merchants(spark, d))
 
 
 @query
 def silver_enriched(spark, d):
-    return _enriched(spark, d).select(
+    return _enriched(spark, d, roles.customers_incomplete).select(
         "transaction_id", "customer_id", "segment", "risk_band", "merchant_name", "category",
         "is_amount_outlier", "is_negative_amount", "is_signup_date_suspect",
         "is_orphan_customer", "is_orphan_merchant", "is_unknown_mcc")
@@ -678,6 +677,17 @@ def scd2_merged(spark, d):
     return scd2.current_version(spark, path)
 
 
+@query
+def scd2_merged_late(spark, d):
+    """Batches cut across time, so that most of their rows are late: the same history again."""
+    events = roles.read(spark, d, "events")
+    path = scratch_path(spark, "scd2")
+    apply = scd2.merge_batch(path, "user_id", ["event_type"], "ts", "event_id")
+    for batch in range(3):
+        apply(events.where(F.col("event_id") % 3 == batch), batch)
+    return scd2.current_version(spark, path)
+
+
 def _customer_history(spark, d):
     """Two observations per customer: everyone was pending thirty days before the last update."""
     observed = roles.customers(spark, d).select(

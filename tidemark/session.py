@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -31,10 +32,14 @@ def _local_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local folder is only made up where the setting is absent, as in tests without one.
+    Without the setting, a local session (as in tests) gets a folder of its own and a cluster is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured.rstrip("/") if configured else _local_dir()
+    if configured:
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

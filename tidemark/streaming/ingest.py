@@ -111,13 +111,15 @@ def ingest_all(spark: SparkSession, cfg: Config, run_id: str | None = None, stri
     """
     run_id = run_id or f"local-{uuid.uuid4()}"
     outcome: list[tuple[str, str, str | None]] = []
+    causes: list[Exception] = []
     for spec in cfg.specs:
         try:
             ingest(spark, spec, cfg, run_id)
             outcome.append((spec.name, "OK", None))
         except Exception as error:  # isolation is the point: the next dataset must still run
-            outcome.append((spec.name, "FAILED", str(error).splitlines()[0][:500]))
-    failed = [name for name, status, _ in outcome if status == "FAILED"]
+            causes.append(error)
+            outcome.append((spec.name, "FAILED", str(error) or type(error).__name__))
+    failed = [f"{name} ({error})" for name, status, error in outcome if status == "FAILED"]
     if failed and strict:
-        raise IngestError(f"ingestion {run_id} completed with failures: {', '.join(failed)}")
+        raise IngestError(f"ingestion {run_id} completed with failures: {'; '.join(failed)}") from ExceptionGroup("ingestion", causes)
     return spark.createDataFrame(outcome, "dataset string, status string, error string")

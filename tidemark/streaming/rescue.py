@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +22,34 @@ def _literal_path(path: str) -> str:
     return "".join(f"\\{c}" if c in _GLOB_CHARS else c for c in path)
 
 
-def csv_headers(spark: SparkSession, paths: list[str], threads: int = 8) -> dict[str, tuple[str, ...]]:
-    """Column names of each file. Spark reads no further than the first line."""
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(_literal_path(path)).columns)
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each file, in one job however many files there are.
 
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
+    The first line that is not blank is the header. Only blocks at the start of a file are looked
+    at; the driver gets one line per file of the batch.
+    """
+    lines = spark.read.text([_literal_path(p) for p in paths]).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nr"))
+    first = lines.where("block = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "nr").alias("line"))
+    by_file = {row["file"]: row["line"] for row in first.collect()}
+    by_name = {_plain(file): line for file, line in by_file.items()}
+    return {p: _names(by_name.get(_plain(p))) for p in paths}
+
+
+def _plain(path: str) -> str:
+    """A file's path without scheme and escapes, as both listings and metadata have it."""
+    return unquote(re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path))
+
+
+def _names(line: str | None) -> tuple[str, ...]:
+    """Names of a header line; blank ones are numbered, repeated ones told apart."""
+    if line is None:
+        return ()
+    names = next(csv.reader([line.removeprefix("\ufeff")]))
+    named = [n if n.strip() else f"_c{i}" for i, n in enumerate(names)]
+    low = [n.lower() for n in named]
+    return tuple(n if low.count(k) == 1 else f"{n}{i}" for i, (n, k) in enumerate(zip(named, low)))
 
 
 def _csv_group(spark: SparkSession, paths: list[str], header: tuple[str, ...], schema: T.StructType) -> DataFrame:
