@@ -16,7 +16,7 @@ from tidemark.llm.queries import tokenizer_path
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects what no language can be told for: no text, or no letter in it."""
     learned = langid.profiles(docs.where(langid.training_rows(docs)))
-    return langid.identify(docs, learned, carry=True).where("lang_pred <> 'und'").select(*docs.columns)
+    return langid.keep_identified(docs, learned)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,9 +47,9 @@ def test_gram_counts_in_segments(monkeypatch, segment):
 
 def test_language_odd_rows(odd_docs):
     learned = langid.profiles(odd_docs.where(langid.training_rows(odd_docs)))
-    got = langid.identify(odd_docs, learned, carry=True)
-    assert set(got.columns) == {*odd_docs.columns, "lang_pred"} and got.count() == 16
-    by = {(r.doc_id, r.text and r.text[:5]): r.lang_pred for r in got.toPandas().itertuples()}
+    got = langid.identify(odd_docs, learned, carry="told")
+    assert got.columns == [*odd_docs.columns, "told"] and got.count() == 16
+    by = {(r.doc_id, r.text and r.text[:5]): r.told.lang_pred for r in got.toPandas().itertuples()}
     assert by[(2, "")] == by[(4, "!!! .")] == "und" and by[(5, "a")] == "en"
     assert langid.profiles(odd_docs.where("false")) == {}
     assert {r.lang_pred for r in langid.identify(odd_docs, {}).toPandas().itertuples()} == {"und"}
@@ -215,5 +215,6 @@ def test_stages_keep_columns_and_odd_rows(spark, odd_docs):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and stage(spark, docs.where("false"), SF).count() == 0
         docs = out
+    assert all(r[c] == "x" for r in docs.collect() for c in ("id", "key", "n", "label", "score", "kept", "path", "t", "_key"))
     left = {(r.doc_id, r.text[:6]) for r in docs.select("doc_id", F.col("text")).toPandas().itertuples()}
     assert (6, "lorem ") in left and (11, "no id ") in left

@@ -51,15 +51,22 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in ("_" * k + name for k in range(1, len(taken) + 2)) if n.lower() not in taken) for name in names]
+
+
 def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``keepers`` names by ``id`` and ``key``, one of each repeated row.
 
     ``keepers`` has one row per (id, key) and ``copies``, the number of rows of docs with both.
     """
     names = docs.columns
-    keyed = docs.withColumn("_key", text_key(F.col(text_col)))
-    right = keepers.select(F.col("id").alias("_id"), F.col("key").alias("_k"), F.col("copies").alias("_n"))
-    kept = keyed.join(right, keyed[id_col].eqNullSafe(right["_id"]) & (keyed["_key"] == right["_k"]))
-    once = kept.where("_n = 1").select(*names)
-    again = kept.where("_n > 1").dropDuplicates([id_col, "_key"]).select(*names)
+    own, doc, key, n = fresh(docs, "own", "doc", "key", "n")
+    keyed = docs.withColumn(own, text_key(F.col(text_col)))
+    right = keepers.select(F.col("id").alias(doc), F.col("key").alias(key), F.col("copies").alias(n))
+    kept = keyed.join(right, keyed[id_col].eqNullSafe(right[doc]) & (keyed[own] == right[key]))
+    once = kept.where(F.col(n) == 1).select(*names)
+    again = kept.where(F.col(n) > 1).dropDuplicates([id_col, own]).select(*names)
     return once.unionByName(again)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold
+from tidemark.llm.common import fold, fresh
 
 #: Ranks of a profile; a gram that a profile lacks is this far out of place.
 PROFILE_SIZE = 400
@@ -99,15 +99,14 @@ def profiles(train: DataFrame, text_col: str = "text", lang_col: str = "lang", s
 
 
 def identify(docs: DataFrame, learned: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
-             size: int = PROFILE_SIZE, carry: bool = False) -> DataFrame:
-    """Rows of ``docs`` with lang_pred and score; only the id and these unless ``carry`` keeps all columns.
+             size: int = PROFILE_SIZE, carry: str | None = None) -> DataFrame:
+    """Id, lang_pred and score of each row; with ``carry`` all its columns, and both in a struct of that name.
 
     The document's ``size`` most frequent grams are ranked; the distance to a language is the sum of
     how far each is out of place in its profile, and the nearest language wins (the first by name in
     a tie). ``score`` is 1 minus that distance over the largest possible one. Text that is null or
     has no letter, or an empty set of profiles, gives ``und`` and score 0. Each row is read on its
-    own, so repeated rows and ids get repeated results; clashing column names raise no conflict
-    because only the named columns are used (``lang_pred`` and ``score`` of docs are replaced if carried).
+    own, so repeated rows and ids get repeated results; other columns are ignored.
     """
     lookup = []
     for lang, codes in learned.items():
@@ -139,8 +138,13 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray], id_col: str = "doc
 
     judged = F.pandas_udf(lambda s: pd.DataFrame([judge(t) for t in s], columns=["lang_pred", "score"]),
                           "lang_pred string, score double")
-    told = docs.withColumn("_told", judged(F.col(text_col)))
-    return told.withColumns({"lang_pred": F.col("_told.lang_pred"), "score": F.col("_told.score")}).drop("_told")
+    return docs.withColumn(carry, judged(F.col(text_col)))
+
+
+def keep_identified(docs: DataFrame, learned: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is ``und``, all columns as they were."""
+    (told,) = fresh(docs, "told")
+    return identify(docs, learned, text_col=text_col, carry=told).where(F.col(told)["lang_pred"] != "und").drop(told)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, exact_dedup, html_text, langid, licenses, neardup, packing, secret_scan, substring_dedup, toxicity
@@ -11,6 +11,10 @@ from tidemark.llm.common import fold, table
 TOKENIZER = "word_bpe_49k.json"
 
 
+def held_out(id_col: str) -> Column:
+    return F.coalesce(fold(F.col(id_col)) == 1, F.lit(False)).alias("held_out")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return str(public_tokenizers.path(TOKENIZER))
@@ -30,7 +34,7 @@ def op3_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.trigram_model(docs)
     told = toxicity.score(docs, model, toxicity.fit(docs, labels, model))
-    return told.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 1).alias("held_out"), "score",
+    return told.select(F.col("id").alias("doc_id"), held_out("id"), "score",
                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -59,7 +63,7 @@ def op8_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = langid.profiles(docs.where(langid.training_rows(docs)))
     told = langid.identify(docs, learned)
-    return told.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
+    return told.select("doc_id", held_out("doc_id"), "lang_pred", "score")
 
 
 def op9_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

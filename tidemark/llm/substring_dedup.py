@@ -11,11 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as w64
-from tidemark.llm.common import text_key
+from tidemark.llm.common import fresh, text_key
 
 #: Mean bytes of a chunk.
 AVERAGE = 48
@@ -88,8 +88,8 @@ def chunks(docs: DataFrame, average: int = AVERAGE) -> DataFrame:
     return docs.mapInPandas(run, CHUNK_SCHEMA)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumn("_doc", F.xxhash64(F.col(id_col), text_key(F.col(text_col))))
+def _doc(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), text_key(F.col(text_col)))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", average: int = AVERAGE,
@@ -100,7 +100,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smallest hash owns it. ``copied`` counts the words of the chunks that others own, ``cut`` lists
     their bounds. Rows that repeat both id and text are one document.
     """
-    texts = _keyed(docs, id_col, text_col).select(F.col("_doc").alias("doc"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8").alias("t"))
+    texts = docs.select(_doc(id_col, text_col).alias("doc"), F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8").alias("t"))
     # Chunks are cut twice: that costs less than to write and keep them.
     known = (chunks(texts, average).groupBy("d1", "d2").agg(F.min("doc").alias("owner"), F.max("doc").alias("high"))
              .where("owner <> high").select("d1", "d2", "owner"))
@@ -127,8 +127,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = repeated_spans(docs, id_col, text_col, average, min_words)
     each = spans.groupBy("_doc").agg(F.count("*").alias("n_spans"), F.sum("words").alias("repeated_words"), F.sum("copied").alias("copied_words"),
                                      F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    rows = _keyed(docs, id_col, text_col).select(
-        "_doc", F.col(id_col).alias("id"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"))
+    rows = docs.select(
+        _doc(id_col, text_col).alias("_doc"), F.col(id_col).alias("id"), F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return rows.join(each, "_doc", "left").select(
         "id", "n_words", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_spans", "repeated_words", "copied_words")],
@@ -138,12 +138,13 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", average: int = AVERAGE, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` whose repeated passages stay in the document that owns them and are cut from all others."""
     spans = repeated_spans(docs, id_col, text_col, average, min_words)
-    each = spans.groupBy("_doc").agg(F.flatten(F.collect_list("cut")).alias("_cut"))
+    doc, own, cut = fresh(docs, "doc", "own", "cut")
+    each = spans.groupBy(F.col("_doc").alias(doc)).agg(F.flatten(F.collect_list("cut")).alias(cut))
 
     @F.pandas_udf("string")
-    def without(text: pd.Series, cut: pd.Series) -> pd.Series:
+    def without(text: pd.Series, cuts: pd.Series) -> pd.Series:
         out = []
-        for t, spans in zip(text, cut):
+        for t, spans in zip(text, cuts):
             if t is not None and spans is not None:
                 raw, at, parts = t.encode(), 0, []
                 for s in sorted(spans, key=lambda s: s["start"]):
@@ -152,5 +153,5 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 t = b"".join([*parts, raw[at:]]).decode()
             out.append(t)
         return pd.Series(out)
-    both = _keyed(docs, id_col, text_col).join(each, "_doc", "left")
-    return both.withColumn(text_col, F.when(F.size("_cut") > 0, without(F.col(text_col), F.col("_cut"))).otherwise(F.col(text_col))).select(*docs.columns)
+    both = docs.withColumn(own, _doc(id_col, text_col)).join(each, F.col(own) == F.col(doc), "left")
+    return both.withColumn(text_col, F.when(F.size(cut) > 0, without(F.col(text_col), F.col(cut))).otherwise(F.col(text_col))).select(*docs.columns)
