@@ -24,6 +24,7 @@ HEADLINE = [
     "label_rate_by_flag", "pre_lifecycle_rows", "concentration_by_priority", "lifecycle_gap_stats",
     "silver_transactions", "quarantine_transactions", "silver_enriched", "scd2_history",
     "customer_risk_scorecard", "merchant_performance_daily", "scorecard_lines",
+    "ingest_status", "scd2_merged",
 ]
 
 

@@ -88,3 +88,16 @@ def test_only_named_months_are_rewritten(spark, lake):
     assert set(before) == set(after) == {"2026-03", "2026-04"}
     assert before["2026-03"] == after["2026-03"] and before["2026-04"] != after["2026-04"]
     assert read_silver(spark, lake, "transactions_enriched").count() == rows
+
+
+def test_flagged_tables_and_thresholds(spark, lake):
+    logs = read_silver(spark, lake, "device_session_logs_enriched")
+    assert {"is_geo_velocity_anomaly", "is_geo_low_accuracy", "is_orphan_customer", "event_date", "geo"} <= set(logs.columns)
+    assert logs.count() == read_silver(spark, lake, "device_session_logs").count()
+    suspects = {r.customer_id: r.is_signup_date_suspect for r in read_silver(spark, lake, "customers_flagged").collect()}
+    assert suspects == {"c1": False, "c2": False}
+    found = {r.metric: (r.observed, r.status) for r in jobs.check_thresholds(spark, lake).collect()}
+    assert found["orphan_rate_pct"] == (20.0, "FAIL") and set(found) == {
+        "orphan_rate_pct", "pre_signup_rate_pct", "amount_outlier_rate_pct", "geo_velocity_anomaly_rate_pct"}
+    plain, hidden = read_silver(spark, lake, "customers"), jobs.masked(spark, lake, "customers")
+    assert hidden.columns == plain.columns and hidden.where("full_name = 'Name'").isEmpty()

@@ -83,8 +83,17 @@ def flag_geo(
     located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
     timed = with_speed(df.where(located), key, ts, row_id, lat, lng, policy=policy).drop(
         "prev", "dist_km", "time_hours")
-    rest = df.where(~located).withColumn("speed_kmh", F.lit(None).cast("double"))
-    return timed.unionByName(rest).withColumns({
+    return _flags(timed, max_kmh, low_accuracy_m, accuracy).unionByName(
+        without_travel(df.where(~located), accuracy, max_kmh, low_accuracy_m))
+
+
+def without_travel(df: DataFrame, accuracy: str, max_kmh: float = MAX_SPEED_KMH, low_accuracy_m: float = LOW_ACCURACY_M) -> DataFrame:
+    """Rows that cannot be compared with another, with the columns of :func:`flag_geo`."""
+    return _flags(df.withColumn("speed_kmh", F.lit(None).cast("double")), max_kmh, low_accuracy_m, accuracy)
+
+
+def _flags(df: DataFrame, max_kmh: float, low_accuracy_m: float, accuracy: str) -> DataFrame:
+    return df.withColumns({
         "is_geo_velocity_anomaly": F.coalesce(F.col("speed_kmh") > max_kmh, F.lit(False)),
         "is_geo_low_accuracy": F.coalesce(F.col(accuracy) >= low_accuracy_m, F.lit(False)),
         "is_geo_accuracy_missing": F.col(accuracy).isNull(),

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import Config
+from tidemark.config import PII_COLUMNS, Config
+from tidemark.functions import masks
+from tidemark.operators import thresholds, velocity
 from tidemark.plans import gold, scd2, scorecard, silver
 from tidemark.streaming.ingest import ingest_all
 from tidemark.streaming.refine import latest_rows, read_silver, refine, silver_path
@@ -46,6 +48,44 @@ def build_silver(spark: SparkSession, cfg: Config, months: Sequence[str] | None
      .partitionBy("txn_month").parquet(silver_path(cfg, "transactions_enriched")))
 
 
+def build_flags(spark: SparkSession, cfg: Config) -> None:
+    """Sessions with travel, accuracy and customer flags, by day; customers with the signup flag.
+
+    Travel is judged within a customer: sessions without one are kept and never anomalous.
+    """
+    customers = latest_rows(read_silver(spark, cfg, "customers"), "customer_id")
+    logs = read_silver(spark, cfg, "device_session_logs").withColumns(
+        {"_lat": F.col("geo.lat"), "_long": F.col("geo.long"), "_accuracy": F.col("geo.accuracy_m")})
+    unknown = F.col("customer_id").isNull()
+    place = ("customer_id", "event_timestamp", "session_id", "_lat", "_long", "_accuracy")
+    known = velocity.flag_geo(logs.where(~unknown), *place)
+    alone = velocity.without_travel(logs.where(unknown), "_accuracy")
+    flagged = known.unionByName(alone).drop("_lat", "_long", "_accuracy")
+    (silver.enrich_sessions(flagged, customers).withColumn("event_date", F.to_date("event_timestamp"))
+     .hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date")
+     .parquet(silver_path(cfg, "device_session_logs_enriched")))
+    suspects = silver.flag_signup_suspect(customers, read_silver(spark, cfg, "transactions"))
+    suspects.write.mode("overwrite").parquet(silver_path(cfg, "customers_flagged"))
+
+
+def check_thresholds(spark: SparkSession, cfg: Config, tolerance: float = 1.0) -> DataFrame:
+    """The watched rates of the flagged tables against their baselines."""
+    def rates(df: DataFrame, flags: dict[str, str]) -> DataFrame:
+        share = [F.round(F.avg(F.col(flag).cast("int")) * 100, 4).alias(metric) for metric, flag in flags.items()]
+        return df.agg(*share).unpivot([], list(flags), "metric", "observed")
+    txns = rates(read_silver(spark, cfg, "transactions_enriched"), {
+        "pre_signup_rate_pct": "is_signup_date_suspect", "amount_outlier_rate_pct": "is_amount_outlier",
+        "orphan_rate_pct": "is_orphan_customer"})
+    logs = rates(read_silver(spark, cfg, "device_session_logs_enriched"), {"geo_velocity_anomaly_rate_pct": "is_geo_velocity_anomaly"})
+    return thresholds.threshold_check(txns.unionByName(logs), tolerance=tolerance)
+
+
+def masked(spark: SparkSession, cfg: Config, dataset: str) -> DataFrame:
+    """The typed table of a dataset with its personal columns masked by sensitivity."""
+    levels = {column: level for name, column, level in PII_COLUMNS if name == dataset}
+    return masks.mask_pii(read_silver(spark, cfg, dataset), levels)
+
+
 def build_gold(spark: SparkSession, cfg: Config) -> None:
     def save(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(gold_path(cfg, name))
@@ -76,5 +116,6 @@ def run(spark: SparkSession, cfg: Config, run_id: str | None = None) -> DataFram
     """Ingests, refines and reports; returns the ingestion status."""
     status = ingest_all(spark, cfg, run_id)
     build_silver(spark, cfg)
+    build_flags(spark, cfg)
     build_gold(spark, cfg)
     return status

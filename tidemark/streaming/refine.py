@@ -18,6 +18,8 @@ SILVER_TABLES = {
     "transactions": "silver_transactions",
     "device_session_logs": "silver_device_session_logs",
     "transactions_enriched": "silver_transactions_enriched",
+    "device_session_logs_enriched": "silver_device_session_logs_enriched",
+    "customers_flagged": "silver_customers_flagged",
     "customers_quarantine": "silver_customers_quarantine",
     "transactions_quarantine": "silver_transactions_quarantine",
     "device_session_logs_quarantine": "silver_device_session_logs_quarantine",
