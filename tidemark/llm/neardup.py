@@ -7,8 +7,8 @@ pairs are few for its size is compared exhaustively; larger ones branch again. A
 similarity s survives a level with probability at least 1 - (1 - s q)^2, so with s = 0.8 a tree of
 any depth keeps it with q = 0.9375, and six trees lose it with probability 6e-8.
 
-Dense nodes: one member of every large node, its pivot, is first compared with all others there, on
-full sets. Linked members share a label, and later only pairs of different labels count as undecided
+Groups: one member of every first node, its pivot, is compared with all others there, on full sets,
+and then the one that was most like it. Linked members share a label, and later only pairs of different labels count as undecided
 - the links that matter are those between components. A group of near copies that holds a third of
 all rows thus costs a few comparisons per member, not all pairs, and nothing is capped: what stays
 undecided keeps branching, and is compared at the last level whatever its size.
@@ -31,7 +31,7 @@ VALUES = 64
 TREES = 6
 BRANCH = 2
 #: A node is compared when it has at most this many undecided pairs per member; doubles per level.
-SMALL = 64
+SMALL = 512
 DEPTH = 12
 #: Of 64 two-bit sketches, pairs at the threshold differ in 9.6 on average; more than 27 has odds below 1e-6.
 DIFFER = 27
@@ -116,7 +116,7 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, t
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b, similarity) of the pairs whose full sets reach the threshold."""
+    """(a, b, similarity, linked) of the pairs that have texts, compared on full sets."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for lo in range(0, len(pdf), 512):
@@ -131,18 +131,12 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                 for a, b in zip(some["a"], some["b"]):
                     both = len(np.intersect1d(known[a], known[b], assume_unique=True))
                     either = len(known[a]) + len(known[b]) - both
-                    if 100 * both >= percent * either:
-                        rows.append((a, b, both / either))
-                yield pd.DataFrame(rows, columns=["a", "b", "similarity"])
+                    rows.append((a, b, both / either, 100 * both >= percent * either))
+                yield pd.DataFrame(rows, columns=["a", "b", "similarity", "linked"])
     raw = texts.select("node", F.encode("t", "utf-8").alias("t"))
     left = pairs.join(raw.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
     full = left.join(raw.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    return full.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long, similarity double").dropDuplicates(["a", "b"])
-
-
-def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    labels = connected_components(edges).withColumnRenamed("label", "_new")
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("_new", "label")).drop("_new")
+    return full.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long, similarity double, linked boolean").dropDuplicates(["a", "b"])
 
 
 def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -155,48 +149,57 @@ def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def similarity_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that connect the classes of every component."""
-    spark = docs.sparkSession
-    roots = F.explode(F.array(*[F.xxhash64(F.lit(j), F.element_at("values", j + 1)) for j in range(TREES * BRANCH)]))
-    rows = classes.select(roots.alias("path"), "node", "n", "s1", "s2", F.col("node").alias("label"))
+    """Links (a, b), confirmed or by way of confirmed ones, that connect the classes of every component."""
+    roots = F.posexplode(F.array(*[F.xxhash64(F.lit(j), F.element_at("values", j + 1)) for j in range(TREES * BRANCH)]))
+    rows = classes.select(roots.alias("root", "path"), "node", "n", "s1", "s2", F.col("node").alias("label"))
+    compared = _pivot_pairs(docs, classes, rows.drop("root"), id_col, text_col, size, percent)
+    near = connected_components(compared.where("linked"))
+    rows = rows.join(near.withColumnRenamed("label", "_new"), "node", "left")
+    rows = scratch(rows.withColumn("label", F.coalesce("_new", "label")).drop("_new"), "neardup-rows")
     found: list[DataFrame] = []
-    linked: DataFrame | None = None
+    met: DataFrame | None = None
     for level in range(1, DEPTH + 1):
         most = SMALL << (level - 1)
-        per_label = rows.groupBy("path", "label").agg(F.count("*").alias("c")) if linked is not None else \
-            rows.select("path", "label", F.lit(1).cast("long").alias("c"))
-        stats = (per_label.groupBy("path")
+        stats = (rows.groupBy("path", "label").agg(F.count("*").alias("c")).groupBy("path")
                  .agg(F.sum("c").alias("members"), F.sum(F.col("c") * F.col("c")).alias("same"), F.max(F.struct("c", "label")).alias("major"))
                  .where("members * members > same")
                  .select("path", F.col("major.label").alias("major"),
                          F.expr(f"(members * members - same) / 2 <= {most}D * members" if level < DEPTH else "true").alias("small")))
-        stats = scratch(stats, "neardup-nodes")
-        small = rows.join(stats.where("small").select("path", "major"), "path")
-        # Each pair of different labels once: one side is never of the node's largest label.
+        rows = scratch(rows.join(stats, "path"), "neardup-open")
+        small, large = rows.where("small"), rows.where("not small").drop("major", "small")
+        if met is None:
+            # Which first nodes of a class are compared, and the values that tell who shares them.
+            mask = small.groupBy("node").agg(F.expr("bit_or(shiftleft(1, root))").alias("mask"))
+            met = classes.select("node", F.slice("values", 1, TREES * BRANCH).alias("roots")).join(mask, "node")
+            met = scratch(met, "neardup-met")
+            before = "i < x.root"
+        else:
+            before = "true"
+        small = small.join(met, "node", "left")
+        # Each pair once: of different labels, one side not of the node's largest label, and not in
+        # a compared first node that comes before this one.
         x, y = small.where("label <> major").alias("x"), small.alias("y")
         undecided = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.major")) | (F.col("x.node") < F.col("y.node")))
-        pairs = x.join(y, (F.col("x.path") == F.col("y.path")) & undecided & _alike("x", "y", percent))
+        again = F.expr(f"exists(sequence(0, {TREES * BRANCH - 1}), i -> {before} AND (shiftright(x.mask, i) & 1) = 1 AND x.roots[i] = y.roots[i])")
+        pairs = x.join(y, (F.col("x.path") == F.col("y.path")) & undecided & _alike("x", "y", percent) & ~F.coalesce(again, F.lit(False)))
         found.append(scratch(_pairs(pairs).distinct(), "neardup-pairs"))
-        large = stats.where("not small").select("path")
         if large.isEmpty():
             break
-        rows = rows.join(large, "path", "left_semi")
-        if level == 1:
-            linked = _pivot_links(docs, classes, rows, id_col, text_col, size, percent)
-            rows = _labelled(rows, linked)
-        rows = scratch(_children(rows, classes), "neardup-rows")
+        rows = scratch(_children(large.drop("root"), classes), "neardup-rows")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    pairs = scratch(pairs.distinct(), "neardup-candidates")
-    links = _confirm(pairs, _texts(docs, classes, pairs, id_col, text_col), size, percent).select("a", "b")
-    return scratch(links.union(linked.select("a", "b")) if linked is not None else links, "neardup-links")
+    pairs = scratch(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "neardup-candidates")
+    links = _confirm(pairs, _texts(docs, classes, pairs, id_col, text_col), size, percent).where("linked").select("a", "b")
+    # What the pivots have linked is one star for each component found so far.
+    return scratch(links.union(near.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")), "neardup-links")
 
 
-def _pivot_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Links between large nodes' members and two pivots each: any one, then the one most like it."""
+def _pivot_pairs(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """Each node's members compared with two pivots: any one of them, then the one most like it."""
     first = F.min(F.struct(F.xxhash64("path", "node").alias("h"), "node", "n", "s1", "s2")).alias("p")
-    pivots = scratch(rows.groupBy("path").agg(first).select("path", "p.node", "p.n", "p.s1", "p.s2"), "neardup-pivots")
+    pivots = rows.groupBy("path").agg(first, F.count("*").alias("members")).where("members > 1")
+    pivots = scratch(pivots.select("path", "p.node", "p.n", "p.s1", "p.s2"), "neardup-pivots")
 
     def near(pivots: DataFrame) -> DataFrame:
         x, y = rows.alias("x"), pivots.alias("y")
@@ -205,12 +208,12 @@ def _pivot_links(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: s
                                        F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.s1").alias("s1"), F.col("x.s2").alias("s2")), "neardup-near")
     pairs = scratch(seen.select("a", "b").distinct(), "neardup-candidates")
     texts = _texts(docs, classes, pairs, id_col, text_col)
-    links = scratch(_confirm(pairs, texts, size, percent), "neardup-links")
+    told = scratch(_confirm(pairs, texts, size, percent), "neardup-told")
     best = F.max(F.struct("similarity", "node", "n", "s1", "s2")).alias("p")
-    second = seen.join(links, ["a", "b"]).groupBy("path").agg(best).select("path", "p.node", "p.n", "p.s1", "p.s2")
+    second = seen.join(told.where("linked"), ["a", "b"]).groupBy("path").agg(best).select("path", "p.node", "p.n", "p.s1", "p.s2")
+    # Only members that a first pivot came near have a text here; later levels see to the others.
     more = scratch(_pairs(near(second)).distinct().join(pairs, ["a", "b"], "left_anti"), "neardup-candidates")
-    # Members that no first pivot came near have no text here; later levels see to them.
-    return scratch(links.unionByName(_confirm(more, texts, size, percent)), "neardup-links")
+    return scratch(told.unionByName(_confirm(more, texts, size, percent)), "neardup-told")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
