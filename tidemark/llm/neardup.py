@@ -1,6 +1,6 @@
 """Near duplicates by a chosen-path set similarity join over minwise tokens.
 
-Documents with equal shingle sets are one class from the start. Each class gets 64 minwise values of
+Documents with equal shingle sets are one class from the start. Each class gets 128 minwise values of
 its set. A tree sends a class down the branches named by the values at a few chosen coordinates;
 TREES independent trees of BRANCH coordinates per node make the first level. A node whose undecided
 pairs are few for its size is compared exhaustively; larger ones branch again. A pair with
@@ -27,14 +27,14 @@ from tidemark.llm import words as w64
 from tidemark.llm.common import keep_rows, scratch, text_key
 from tidemark.llm.components import connected_components
 
-VALUES = 64
+VALUES = 128
 TREES = 6
 BRANCH = 2
 #: A node is compared when it has at most this many undecided pairs per member; doubles per level.
-SMALL = 512
+SMALL = 256
 DEPTH = 12
-#: Of 64 two-bit sketches, pairs at the threshold differ in 9.6 on average; more than 27 has odds below 1e-6.
-DIFFER = 27
+#: Of 128 two-bit sketches, pairs at the threshold differ in 19 on average; more than 42 has odds below 1e-6.
+DIFFER = 42
 #: Sets stand for ids that are all null from here on.
 NO_ID = 1 << 62
 _BLOCK = 1 << 20
@@ -64,7 +64,7 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 
 
 def _minwise(shingles: np.ndarray) -> np.ndarray:
-    """The 64 smallest mixed values, 32 bits of each."""
+    """The smallest of the mixed values for each multiplier, 32 bits of it."""
     low = np.full(VALUES, np.iinfo(np.uint32).max, dtype=np.uint32)
     for at in range(0, len(shingles), 2048):
         part = shingles[at:at + 2048, None] * _MUL
@@ -73,7 +73,7 @@ def _minwise(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """id, key, n (set size), h1 and h2 (identity of the set), s1 and s2 (two bits a value), values."""
+    """id, key, n (set size), h1 and h2 (identity of the set), s (two bits a value), values."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["t"].tolist()
@@ -83,22 +83,23 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
                     values = np.array([_minwise(s) for s in sets]).reshape(len(sets), VALUES)
                     ones = [w64.mix(s * np.uint64(0x9FB21C651E98DF25) + np.uint64(1)).sum(dtype=np.uint64) for s in sets]
                     twos = [w64.mix(s * np.uint64(0xA24BAED4963EE407) + np.uint64(2)).sum(dtype=np.uint64) for s in sets]
-                bits = [np.packbits((values >> np.uint32(k) & 1).astype(np.uint8), axis=1).view(">u8").ravel() for k in (0, 1)]
+                low, high = (np.packbits((values >> np.uint32(k) & 1).astype(np.uint8), axis=1).view(">u8").astype(np.uint64).view(np.int64) for k in (0, 1))
                 yield pd.DataFrame({
                     "id": pdf["id"].iloc[part].to_numpy(), "key": pdf["key"].iloc[part].to_numpy(), "n": [len(s) for s in sets],
                     "h1": np.array(ones, dtype=np.uint64).view(np.int64), "h2": np.array(twos, dtype=np.uint64).view(np.int64),
-                    "s1": bits[0].astype(np.uint64).view(np.int64), "s2": bits[1].astype(np.uint64).view(np.int64),
+                    "l1": low[:, 0], "l2": low[:, 1], "h3": high[:, 0], "h4": high[:, 1],
                     "values": list(values.view(np.int32))})
     rows = docs.select(F.col(id_col).cast("string").alias("id"), text_key(F.col(text_col)).alias("key"),
                        F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8").alias("t"))
-    made = rows.mapInPandas(run, "id string, key binary, n long, h1 long, h2 long, s1 long, s2 long, values array<int>")
-    return made.withColumn("id", F.col("id").cast("long"))
+    made = rows.mapInPandas(run, "id string, key binary, n long, h1 long, h2 long, l1 long, l2 long, h3 long, h4 long, values array<int>")
+    bits = F.struct("l1", "l2", "h3", "h4").alias("s")
+    return made.select(F.col("id").cast("long").alias("id"), "key", "n", "h1", "h2", bits, "values")
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
     """Sizes that allow the similarity, and sketches that do not rule it out."""
     fits = (F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent)
-    differ = F.expr(f"bit_count(({a}.s1 ^ {b}.s1) | ({a}.s2 ^ {b}.s2))")
+    differ = F.expr(f"bit_count(({a}.s.l1 ^ {b}.s.l1) | ({a}.s.h3 ^ {b}.s.h3)) + bit_count(({a}.s.l2 ^ {b}.s.l2) | ({a}.s.h4 ^ {b}.s.h4))")
     return fits & (differ <= DIFFER)
 
 
@@ -151,7 +152,7 @@ def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def similarity_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """Links (a, b), confirmed or by way of confirmed ones, that connect the classes of every component."""
     roots = F.posexplode(F.array(*[F.xxhash64(F.lit(j), F.element_at("values", j + 1)) for j in range(TREES * BRANCH)]))
-    rows = classes.select(roots.alias("root", "path"), "node", "n", "s1", "s2", F.col("node").alias("label"))
+    rows = classes.select(roots.alias("root", "path"), "node", "n", "s", F.col("node").alias("label"))
     compared = _pivot_pairs(docs, classes, rows.drop("root"), id_col, text_col, size, percent)
     near = connected_components(compared.where("linked"))
     rows = rows.join(near.withColumnRenamed("label", "_new"), "node", "left")
@@ -197,20 +198,20 @@ def similarity_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
 
 def _pivot_pairs(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """Each node's members compared with two pivots: any one of them, then the one most like it."""
-    first = F.min(F.struct(F.xxhash64("path", "node").alias("h"), "node", "n", "s1", "s2")).alias("p")
+    first = F.min(F.struct(F.xxhash64("path", "node").alias("h"), "node", "n", "s")).alias("p")
     pivots = rows.groupBy("path").agg(first, F.count("*").alias("members")).where("members > 1")
-    pivots = scratch(pivots.select("path", "p.node", "p.n", "p.s1", "p.s2"), "neardup-pivots")
+    pivots = scratch(pivots.select("path", "p.node", "p.n", "p.s"), "neardup-pivots")
 
     def near(pivots: DataFrame) -> DataFrame:
         x, y = rows.alias("x"), pivots.alias("y")
         return x.join(y, (F.col("x.path") == F.col("y.path")) & (F.col("x.node") != F.col("y.node")) & _alike("x", "y", percent))
     seen = scratch(near(pivots).select(F.col("x.path").alias("path"), F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
-                                       F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.s1").alias("s1"), F.col("x.s2").alias("s2")), "neardup-near")
+                                       F.col("x.node").alias("node"), F.col("x.n").alias("n"), F.col("x.s").alias("s")), "neardup-near")
     pairs = scratch(seen.select("a", "b").distinct(), "neardup-candidates")
     texts = _texts(docs, classes, pairs, id_col, text_col)
     told = scratch(_confirm(pairs, texts, size, percent), "neardup-told")
-    best = F.max(F.struct("similarity", "node", "n", "s1", "s2")).alias("p")
-    second = seen.join(told.where("linked"), ["a", "b"]).groupBy("path").agg(best).select("path", "p.node", "p.n", "p.s1", "p.s2")
+    best = F.max(F.struct("similarity", "node", "n", "s")).alias("p")
+    second = seen.join(told.where("linked"), ["a", "b"]).groupBy("path").agg(best).select("path", "p.node", "p.n", "p.s")
     # Only members that a first pivot came near have a text here; later levels see to the others.
     more = scratch(_pairs(near(second)).distinct().join(pairs, ["a", "b"], "left_anti"), "neardup-candidates")
     return scratch(told.unionByName(_confirm(more, texts, size, percent)), "neardup-told")
@@ -231,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Null ids sort last; without any id, the set's own hash names the class.
     rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("rep")
     classes = (made.where("n > 0").groupBy("h1", "h2")
-               .agg(rep, F.first("n").alias("n"), F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("values").alias("values"))
+               .agg(rep, F.first("n").alias("n"), F.first("s").alias("s"), F.first("values").alias("values"))
                .withColumn("node", F.coalesce(F.col("rep.id"), F.shiftrightunsigned("h1", 2) + F.lit(NO_ID))))
     classes = scratch(classes, "neardup-classes")
     labels = connected_components(similarity_links(docs, classes, id_col, text_col, size, percent))
