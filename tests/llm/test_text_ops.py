@@ -237,6 +237,55 @@ def test_repeats_on_documents(spark):
     assert len(shared - set(got[got.repeated].index)) <= 0.02 * len(shared)
 
 
+def fresh_words(rng, n, most=9):
+    return " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(1, most))) for _ in range(n))
+
+
+def test_repeats_of_51_words_are_never_missed(make_docs):
+    """Each passage stands in two documents only, with other words around it; bounds are those of the passage."""
+    rng = np.random.default_rng(9)
+    rows, where = [], {}
+    for k in range(200):
+        passage = fresh_words(rng, 51, 2 + k % 8)
+        for side in (0, 1):
+            before = fresh_words(rng, 60)
+            rows.append((2 * k + side, f"{before} {passage} {fresh_words(rng, 60)}"))
+            where[2 * k + side] = [(len(before) + 1, len(before) + 1 + len(passage))]
+    got = substring_dedup.find_repeats(make_docs(rows)).toPandas().set_index("id")
+    for i, want in where.items():
+        assert [(s.start, s.end) for s in got.loc[i].spans] == want and got.loc[i].repeated_words == 51
+    assert (got.copied_words == 51).sum() == 200
+
+
+def test_repeats_have_the_bounds_of_the_longest(make_docs):
+    """Parts of a passage are common elsewhere too; that shortens no passage."""
+    rng = np.random.default_rng(10)
+    passage = fresh_words(rng, 120).split()
+    rows = [(i, " ".join([fresh_words(rng, 40), *passage, fresh_words(rng, 40)])) for i in (0, 1)]
+    rows += [(10 + i, " ".join([fresh_words(rng, 40), *passage[i:i + 25], fresh_words(rng, 40)])) for i in range(95)]
+    got = substring_dedup.find_repeats(make_docs(rows)).toPandas().set_index("id")
+    assert all(got.loc[i].n_spans == 1 and got.loc[i].repeated_words == 120 for i in (0, 1))
+    cut = substring_dedup.drop_repeats(make_docs(rows[:2])).toPandas()
+    assert sum(" ".join(passage) in t for t in cut.text) == 1 and sum(len(t.split()) == 80 for t in cut.text) == 1
+
+
+def test_repeats_against_brute_force(spark):
+    """All words of passages of 50 words and more that two documents share."""
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    got = queries.op9_gear_chunks(spark, SF).toPandas().set_index("doc_id")
+    grams, bounds = {}, {}
+    for d, t in zip(docs.doc_id, docs.text):
+        raw = (t or "").encode()
+        bounds[d] = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        for i in range(len(bounds[d]) - 49):
+            grams.setdefault(raw[bounds[d][i][0]:bounds[d][i + 49][1]], []).append((d, i))
+    many = [(d, i) for where in grams.values() if len({d for d, _ in where}) > 1 for d, i in where]
+    assert many
+    for d, i in many:
+        spans = [tuple(map(int, s.split(":"))) for s in got.loc[d].spans.split(",") if s]
+        assert any(s <= bounds[d][i][0] and bounds[d][i + 49][1] <= e for s, e in spans)
+
+
 def test_repeats_odd_rows(odd_docs):
     got = substring_dedup.find_repeats(odd_docs).toPandas()
     assert len(got) == 16 and set(got[got.repeated].id) <= {6, 7}
