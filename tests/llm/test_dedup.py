@@ -111,6 +111,20 @@ def test_near_odd_rows(odd_docs):
     assert neardup.near_duplicates(odd_docs.where("false")).count() == 0
 
 
+def test_near_equal_ids_are_separate_documents(make_docs, odd_docs):
+    kept = neardup.drop_near_duplicates(odd_docs).toPandas()
+    assert sorted(kept[kept.doc_id == 9].text) == ["one id two texts", "one id, another text"]
+    words = [[f"{c}{i}" for i in range(60)] for c in "abc"]
+    one, two, three = (" ".join(w) for w in words)
+    near_one, near_two = one + " end", two + " end"
+    rows = [(1, one), (1, two), (2, near_one), (3, near_two), (3, three), (None, near_two + " z"), (None, "only null ids here")]
+    got = neardup.near_duplicates(make_docs(rows)).toPandas()
+    assert got.label.nunique() == 4
+    assert sorted(got.component_id.fillna(-1)) == [-1, 1, 1, 1, 1, 1, 3] and got.kept.sum() == 4
+    kept = neardup.drop_near_duplicates(make_docs(rows)).toPandas()
+    assert sorted(kept.text) == sorted([one, two, three, "only null ids here"])
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 500)] + [(1000 + (i * 37) % 101, 1000 + ((i + 1) * 37) % 101) for i in range(100)]
     got = components.connected_components(spark.createDataFrame(edges, "a long, b long")).toPandas()

@@ -35,8 +35,6 @@ SMALL = 256
 DEPTH = 12
 #: Of 128 two-bit sketches, pairs at the threshold differ in 19 on average; more than 42 has odds below 1e-6.
 DIFFER = 42
-#: Sets stand for ids that are all null from here on.
-NO_ID = 1 << 62
 _BLOCK = 1 << 20
 _MUL = np.random.default_rng(7).integers(0, 2**64, VALUES, dtype=np.uint64) | np.uint64(1)
 
@@ -218,7 +216,7 @@ def _pivot_pairs(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: s
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: id, key, n_shingles, label, component_id, kept.
+    """One row per row of ``docs``: id, key, n_shingles, label (names the component), component_id, kept.
 
     Words are runs of anything but white space, A-Z as a-z; a document's set holds its distinct
     ``size``-word shingles, or all its words as one if it has fewer. Documents are linked whose sets
@@ -229,19 +227,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     separate documents. Other columns are ignored; an empty table gives no rows.
     """
     made = scratch(sketches(docs, id_col, text_col, size), "neardup-sketches")
-    # Null ids sort last; without any id, the set's own hash names the class.
+    # Null ids sort last. A class is named when it is written, not by an id: other texts may have the same.
     rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("rep")
     classes = (made.where("n > 0").groupBy("h1", "h2")
                .agg(rep, F.first("n").alias("n"), F.first("s").alias("s"), F.first("values").alias("values"))
-               .withColumn("node", F.coalesce(F.col("rep.id"), F.shiftrightunsigned("h1", 2) + F.lit(NO_ID))))
+               .withColumn("node", F.monotonically_increasing_id()))
     classes = scratch(classes, "neardup-classes")
     labels = connected_components(similarity_links(docs, classes, id_col, text_col, size, percent))
-    named = classes.select("h1", "h2", "node").join(labels, "node", "left").select("h1", "h2", F.coalesce("label", "node").alias("label"))
+    named = classes.select("h1", "h2", "node", "rep.id").join(labels, "node", "left").select("h1", "h2", "id", F.coalesce("label", "node").alias("label"))
+    named = scratch(named, "neardup-named")
+    component = named.groupBy("label").agg(F.min("id").alias("component_id"))
+    named = named.drop("id").join(component, "label")
     alone = made.where("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("label"),
                                        F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    component = F.when(F.col("label") < NO_ID, F.col("label"))
     told = (made.where("n > 0").select("id", "key", F.col("n").alias("n_shingles"), "h1", "h2").join(named, ["h1", "h2"])
-            .select("id", "key", "n_shingles", "label", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")))
+            .select("id", "key", "n_shingles", "label", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
     return told.unionByName(alone)
 
 
