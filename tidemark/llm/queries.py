@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, html_text, langid, licenses, neardup, packing, secret_scan, substring_dedup, toxicity
+from tidemark.llm import (
+    alignment, decontaminate, exact_dedup, html_text, langid, licenses, neardup, packing, secret_scan, substring_dedup, toxicity)
 from tidemark.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
+#: Tokenizers A and B of the alignment.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(fold(F.col(id_col)) == 1, F.lit(False)).alias("held_out")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
-    return str(public_tokenizers.path(TOKENIZER))
+    return str(public_tokenizers.path(name))
 
 
 def op1_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +80,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op11_pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, paths = table(spark, sf_dir, "documents"), [tokenizer_path(name) for name in ALIGNED]
+    return alignment.align(docs, alignment.count_pairs(docs, *paths), *paths).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_decontamination": op2_decontamination,
@@ -88,6 +96,7 @@ QUERIES = {
     "op8_language_profiles": op8_language_profiles,
     "op9_gear_chunks": op9_gear_chunks,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_pair_alignment": op11_pair_alignment,
 }
 
 SQL = {
