@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    alignment, decontaminate, exact_dedup, html_text, langid, licenses, neardup, packing, secret_scan, substring_dedup, toxicity)
+    alignment, decontaminate, exact_dedup, html_text, langid, licenses, merkle, neardup, packing, secret_scan, substring_dedup, toxicity)
 from tidemark.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -85,6 +85,11 @@ def op11_pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(docs, alignment.count_pairs(docs, *paths), *paths).withColumnRenamed("id", "doc_id")
 
 
+def op12_merkle_octopus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.proofs(docs, changed=merkle.tampered(docs)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_gear_chunks": op9_gear_chunks,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_pair_alignment": op11_pair_alignment,
+    "op12_merkle_octopus": op12_merkle_octopus,
 }
 
 SQL = {
@@ -104,4 +110,5 @@ SQL = {
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS n FROM documents),
 g AS (SELECT n, count(*) AS group_size, first(doc_id ORDER BY chars DESC, doc_id) AS keep_id FROM t GROUP BY n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM t JOIN g USING (n)""",
+    "op12_merkle_octopus": merkle.oracle_sql(),
 }
