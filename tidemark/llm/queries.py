@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    alignment, decontaminate, exact_dedup, html_text, langid, licenses, merkle, neardup, packing, secret_scan, substring_dedup, toxicity)
+    alignment, compression, decontaminate, exact_dedup, html_text, langid, licenses, merkle, neardup, packing, secret_scan, substring_dedup, toxicity)
 from tidemark.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -90,6 +90,13 @@ def op12_merkle_octopus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(docs, changed=merkle.tampered(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op13_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = compression.score(docs, compression.fit(docs, table(spark, sf_dir, "labels")))
+    away = F.coalesce(compression.fold(F.col("id")) == 2, F.lit(False)).alias("held_out")
+    return told.select(F.col("id").alias("doc_id"), away, "score", (F.col("score") >= compression.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_pattern_packing": op1_pattern_packing,
     "op2_decontamination": op2_decontamination,
@@ -103,6 +110,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_pair_alignment": op11_pair_alignment,
     "op12_merkle_octopus": op12_merkle_octopus,
+    "op13_compression_quality": op13_compression_quality,
 }
 
 SQL = {
