@@ -1,8 +1,9 @@
 import random
+import time
 
 import pytest
 
-from tidemark.operators.sequence import SkewPolicy, heavy_key_cuts, with_neighbor
+from tidemark.operators.sequence import SkewPolicy, has_heavy_key, in_cells, with_neighbor
 
 CUT_ALL = SkewPolicy(heavy_rows=10, sample_every=1, cell_rows=20)
 
@@ -49,46 +50,59 @@ def test_string_keys_and_empty_string_is_not_null(spark):
     assert got == {1: None, 2: 1, 3: None, 4: 3, 5: None}
 
 
-def test_only_heavy_keys_are_cut_and_cuts_are_bounded(spark):
+@pytest.mark.parametrize(("heavy_rows", "heavy"), [(250, True), (299, True), (300, False), (1000, False)])
+def test_heavy_keys_are_found_by_their_rows(spark, heavy_rows, heavy):
     df = spark.createDataFrame(data(), "k int, t int, i int, v string")
-    cuts = heavy_key_cuts(df, "k", ["t", "i"], SkewPolicy(250, 1, 10)).collect()
-    assert [c._key for c in cuts] == [1]
-    # 300 rows in cells of about ten.
-    assert 15 <= len(cuts[0].points) <= 60
+    assert has_heavy_key(df, "k", ["t", "i"], SkewPolicy(heavy_rows, 1, 10)) == heavy
 
 
 def cells(df, policy, order=("t", "i")):
-    """Rows per (key, cell) as the window sees them."""
-    from tidemark.operators.sequence import _with_cell, _with_plain_key
-    cuts = heavy_key_cuts(df, "k", list(order), policy)
-    placed = _with_cell(_with_plain_key(df, "k").join(cuts, ["_key", "_unkeyed"], "left"), list(order))
-    return [r["count"] for r in placed.groupBy("_key", "_unkeyed", "_cell").count().collect()]
+    """Rows per cell as the window sees them, the carried one not counted."""
+    return [r["count"] for r in in_cells(df, "k", list(order), policy).groupBy("_cell").count().collect()]
 
 
-def test_every_heavy_key_is_cut(spark):
-    """Many more heavy keys than any constant in the module."""
+def test_many_heavy_keys_make_even_cells(spark):
     df = spark.range(60_000).selectExpr("CAST(id % 1500 AS INT) AS k", "CAST(id AS INT) AS t", "CAST(id AS INT) AS i")
-    assert max(cells(df, SkewPolicy(20, 1, 5))) <= 8
+    sizes = cells(df, SkewPolicy(20, 1, 5))
+    assert max(sizes) == 5 and len(sizes) < 60_000 / 5 + 2 * df.rdd.getNumPartitions() + 10
 
 
-@pytest.mark.parametrize("time", ["0", "NULL", "IF(id % 1000 = 0, 2000000000, id)", "IF(id % 3 = 0, NULL, id % 7)"])
-def test_cells_are_even_whatever_the_times(spark, time):
+@pytest.mark.parametrize("at", ["0", "NULL", "IF(id % 1000 = 0, 2000000000, id)", "IF(id % 3 = 0, NULL, id % 7)"])
+def test_cells_are_even_whatever_the_times(spark, at):
     """All rows at one time or at none, far outliers, few distinct values."""
-    df = spark.range(40_000).selectExpr("1 AS k", f"CAST({time} AS INT) AS t", "CAST(id AS INT) AS i")
+    df = spark.range(40_000).selectExpr("1 AS k", f"CAST({at} AS INT) AS t", "CAST(id AS INT) AS i")
     policy = SkewPolicy(1000, 1, 1000)
-    assert max(cells(df, policy)) <= 2000
+    assert max(cells(df, policy)) <= 1000
     got = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=policy)
     plain = with_neighbor(df, "k", ["t", "i"], ["i"], "n")
     assert got.select("i", "n.i").exceptAll(plain.select("i", "n.i")).isEmpty() and got.count() == 40_000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_heavy_key_is_spread_over_window_groups(spark):
-    """The plan partitions by cell: no window group holds the whole heavy key."""
+    """The plan partitions by cell: no window group holds the whole heavy key, and no row carries cut points."""
     df = spark.createDataFrame(data(), "k int, t int, i int, v string")
     out = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=CUT_ALL)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    window = [line for line in plan.splitlines() if "Window [lag" in line]
+    window = [line for line in plan_of(out).splitlines() if "Window [lag" in line]
     assert window and all("_cell" in line for line in window)
+    assert "array" not in out._jdf.queryExecution().optimizedPlan().toString() and "Join" not in plan_of(out)
+
+
+def test_number_of_cells_costs_nothing(spark):
+    """One key of 200,000 rows in 100 and in 20,000 cells: hardly more time."""
+    df = spark.range(200_000).selectExpr("1 AS k", "CAST(id * 7919 % 200000 AS INT) AS t", "id AS i")
+
+    def seconds(cell_rows):
+        start = time.perf_counter()
+        out = with_neighbor(df, "k", ["t", "i"], ["i"], "n", policy=SkewPolicy(1000, 16, cell_rows))
+        assert out.where("n IS NULL").count() == 1
+        return time.perf_counter() - start
+    seconds(2000)
+    few, many = (min(seconds(n) for _ in range(3)) for n in (2000, 10))
+    assert many < 1.5 * few
 
 
 def test_columns_of_input_survive_unchanged(spark):

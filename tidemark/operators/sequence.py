@@ -1,11 +1,9 @@
 """The previous or next row of each key, also where one key holds a large part of the table.
 
-A plain window puts a whole key into one task. Keys that are too heavy for that are cut along
-their order columns into many cells of similar size; the window then works per (key, cell), and
-only the first row of each cell takes its neighbour from a small table of cell edges. Cut points
-come from a hash sample and steer nothing but the distribution: the result does not depend on
-them. They are whole order values, tie-breaker included, so rows that share a time, or have none,
-are cut as well.
+A plain window puts a whole key into one task. Where a key is too heavy for that, rows are dealt by
+ranges of (key, order) instead, numbered within their range, and cut by number into cells of the same
+size whatever the keys and times are. The window works per cell; the row on the other side of a
+cell's edge is carried into it, one row per cell.
 """
 
 from __future__ import annotations
@@ -18,18 +16,14 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-_MIN_CELLS = 16
-#: Sampled points per cut point: cells differ in size by about 1 / sqrt(OVERSAMPLE).
-_OVERSAMPLE = 16
-
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When and how finely heavy keys are cut.
+    """When keys are too heavy for a window of their own, and what replaces it.
 
-    ``heavy_rows``: estimated rows above which a key is cut, however many such keys there are.
+    ``heavy_rows``: estimated rows of a key above which rows are dealt by ranges.
     ``sample_every``: one row in so many is hashed into the estimate.
-    ``cell_rows``: rows a cell should hold, so that cells stay the same size while the table grows.
+    ``cell_rows``: rows of a cell.
     """
 
     heavy_rows: int = 4_000_000
@@ -40,51 +34,24 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def _with_plain_key(df: DataFrame, key: str) -> DataFrame:
-    """Null-free copies of the key, so that joins and windows share one hash partitioning."""
-    dtype = df.schema[key].dataType
-    blank = F.lit("") if dtype.typeName() == "string" else F.lit(0)
-    return df.withColumns({"_key": F.coalesce(F.col(key), blank.cast(dtype)), "_unkeyed": F.col(key).isNull()})
+def has_heavy_key(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> bool:
+    """Whether a hash sample shows a key with more than ``heavy_rows`` rows. Runs one narrow job."""
+    sampled = df.where(f"pmod(xxhash64({', '.join([key, *order])}), {policy.sample_every}) = 0")
+    counted = sampled.groupBy(key).agg(F.count(F.lit(1)).alias("seen"))
+    return not counted.where(F.col("seen") * policy.sample_every > policy.heavy_rows).isEmpty()
 
 
-def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """(_key, _unkeyed, points): sorted cut points of every heavy key, written to the shared folder.
+def in_cells(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """``df`` with _at, which numbers the rows by (key, order), and _cell, which has at most ``cell_rows`` of them.
 
-    Everything here is a function of the rows alone. Written once, the table has a known size, so
-    Spark broadcasts it only while it is small.
+    Written to the shared folder: all later steps see the same ranges, also after a retry.
     """
-    keyed = _with_plain_key(df, key)
-    sampled = keyed.selectExpr(
-        "_key", "_unkeyed", f"struct({', '.join(order)}) AS at", f"xxhash64(_key, {', '.join(order)}) AS h",
-    ).where(f"pmod(h, {policy.sample_every}) = 0")
-    cells = f"greatest({_MIN_CELLS}, seen * {policy.sample_every} / {policy.cell_rows})"
-    heavy = (
-        sampled.groupBy("_key", "_unkeyed").agg(F.expr("count(1) AS seen"))
-        .where(f"seen * {policy.sample_every} > {policy.heavy_rows}")
-        .selectExpr("_key", "_unkeyed", f"CAST(greatest(1, floor(seen / ({cells} * {_OVERSAMPLE}))) AS BIGINT) AS thin",
-                    f"CAST({cells} AS BIGINT) AS cells")
-    )
-    points = (
-        sampled.join(heavy, ["_key", "_unkeyed"]).where("pmod(shiftright(h, 12), thin) = 0")
-        .groupBy("_key", "_unkeyed").agg(F.expr("array_sort(collect_set(at)) AS found"), F.expr("max(cells) AS cells"))
-        .selectExpr("_key", "_unkeyed", "found", "CAST(greatest(1, size(found) div cells) AS INT) AS every")
-        # Every so many of the sorted points: cells of nearly equal counts wherever the values lie.
-        .selectExpr("_key", "_unkeyed", "filter(found, (x, i) -> i % every = every - 1) AS points")
-    )
-    path = scratch_path(df.sparkSession, "cuts")
-    points.write.parquet(path)
-    return df.sparkSession.read.schema(points.schema).parquet(path)
-
-
-def _with_cell(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Adds _cell, the number of cut points strictly below the row, by binary search; 0 for uncut keys."""
-    middle = "CAST((s.lo + s.hi) div 2 AS INT)"
-    search = (
-        "aggregate(sequence(1, CAST(ceil(log2(size(points) + 1)) AS INT)), named_struct('lo', 0, 'hi', size(points)),"
-        f" (s, i) -> CASE WHEN s.lo >= s.hi THEN s WHEN get(points, {middle}) < _at"
-        f" THEN named_struct('lo', {middle} + 1, 'hi', s.hi) ELSE named_struct('lo', s.lo, 'hi', {middle}) END, s -> s.lo)")
-    placed = df.withColumn("_at", F.struct(*order))
-    return placed.withColumn("_cell", F.expr(f"CASE WHEN points IS NULL OR size(points) = 0 THEN 0 ELSE {search} END")).drop("_at", "points")
+    place = [key, *order]
+    # The upper bits of the number name the range; ranges are 2^33 apart, so that no cell reaches into two.
+    dealt = df.repartitionByRange(*place).sortWithinPartitions(*place).withColumn("_at", F.monotonically_increasing_id())
+    path = scratch_path(df.sparkSession, "cells")
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path).withColumn("_cell", F.expr(f"_at div {policy.cell_rows}L"))
 
 
 def with_neighbor(
@@ -95,38 +62,30 @@ def with_neighbor(
     into: str,
     forward: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
-    cuts: DataFrame | None = None,
+    heavy: bool | None = None,
 ) -> DataFrame:
     """Adds struct column ``into`` with ``cols`` of the previous (or next) row of the same key.
 
-    ``order`` must be a total order within the key; nulls come first. The struct is null where there
-    is no neighbour. ``cuts`` reuses the result of :func:`heavy_key_cuts` on an input from which
-    ``df`` was derived, by the same order columns. Finding the heavy keys runs one narrow job.
+    ``order`` must be a total order within the key; nulls come first, and rows without a key follow
+    each other like those of any key. The struct is null where there is no neighbour. ``heavy`` may
+    carry the answer of :func:`has_heavy_key`; it decides how rows are dealt, never the result. With
+    heavy keys the rows are written to the shared folder when this is called.
     """
-    keyed = _with_plain_key(df, key)
-    if cuts is None:
-        cuts = heavy_key_cuts(df, key, order, policy)
-    payload = F.struct(*cols)
     step = F.lead if forward else F.lag
-    if cuts.isEmpty():
-        whole = Window.partitionBy("_key", "_unkeyed").orderBy(*order)
-        return keyed.withColumn(into, step(payload, 1).over(whole)).drop("_key", "_unkeyed")
-
-    place = ["_key", "_unkeyed", "_cell"]
-    placed = _with_cell(keyed.join(cuts, ["_key", "_unkeyed"], "left"), order)
-    local = placed.withColumn(into, step(payload, 1).over(Window.partitionBy(*place).orderBy(*order)))
-
-    # One edge row per cell of a cut key: what the rows on the other side of the edge see.
-    heavy_rows = _with_cell(keyed.join(cuts, ["_key", "_unkeyed"]), order)
-    edge_of = F.min if forward else F.max
-    edges = (
-        heavy_rows.groupBy(*place)
-        .agg(edge_of(F.struct(F.struct(*order).alias("o"), payload.alias("v"))).alias("_edge"))
-        .select(*place, step(F.col("_edge.v"), 1).over(
-            Window.partitionBy("_key", "_unkeyed").orderBy("_cell")).alias("_beyond"))
-    )
-    return (
-        local.join(edges, place, "left")
-        .withColumn(into, F.coalesce(F.col(into), F.col("_beyond")))
-        .drop(*place, "_beyond")
-    )
+    payload = F.struct(*cols)
+    if not (has_heavy_key(df, key, order, policy) if heavy is None else heavy):
+        return df.withColumn(into, step(payload, 1).over(Window.partitionBy(key).orderBy(*order)))
+
+    rows = in_cells(df, key, order, policy)
+    seen = F.struct(F.col(key).alias("k"), payload.alias("v"))
+    # The row next to the edge goes to the neighbouring cell; there are rows / cell_rows of them.
+    at, edge, beyond = (F.min, F.min_by, F.lag) if forward else (F.max, F.max_by, F.lead)
+    edges = rows.groupBy("_cell").agg(at("_at").alias("_at"), edge(seen, "_at").alias("_edge"))
+    carried = edges.select(
+        beyond("_cell", 1).over(Window.orderBy("_cell")).alias("_cell"), "_at", F.lit(True).alias("_carried"),
+        F.col("_edge.k").alias(key), *[F.col(f"_edge.v.{c}").alias(c) for c in dict.fromkeys(cols) if c != key],
+    ).where("_cell IS NOT NULL")
+    full = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    near = full.withColumn("_near", step(seen, 1).over(Window.partitionBy("_cell").orderBy("_at"))).where("NOT _carried")
+    return near.withColumn(
+        into, F.when(F.col("_near.k").eqNullSafe(F.col(key)), F.col("_near.v"))).drop("_at", "_cell", "_carried", "_near")

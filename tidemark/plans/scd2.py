@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, heavy_key_cuts, with_neighbor
+from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, has_heavy_key, with_neighbor
 
 
 def scd2(
@@ -26,11 +26,11 @@ def scd2(
     observed = latest.select(key, F.col(ts).alias("valid_from"), *[F.col(f"_last.col2.{a}").alias(a) for a in attrs])
 
     # Heavy keys are looked for once, in the raw log; both neighbour steps share the answer.
-    cuts = heavy_key_cuts(changes.withColumnRenamed(ts, "valid_from"), key, ["valid_from"], policy)
-    chained = with_neighbor(observed, key, ["valid_from"], attrs, "_prev", policy=policy, cuts=cuts)
+    heavy = has_heavy_key(changes, key, [ts], policy)
+    chained = with_neighbor(observed, key, ["valid_from"], attrs, "_prev", policy=policy, heavy=heavy)
     changed: list[Column] = [~F.col(a).eqNullSafe(F.col(f"_prev.{a}")) for a in attrs]
     versions = chained.where(F.col("_prev").isNull() | reduce(Column.__or__, changed)).drop("_prev")
-    bounded = with_neighbor(versions, key, ["valid_from"], ["valid_from"], "_next", True, policy, cuts)
+    bounded = with_neighbor(versions, key, ["valid_from"], ["valid_from"], "_next", True, policy, heavy)
     return bounded.select(
         key, *attrs, "valid_from",
         F.col("_next.valid_from").alias("valid_to"),
