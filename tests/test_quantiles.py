@@ -1,10 +1,12 @@
 import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.quantiles import as_row, exact_quantiles, quantile, quantiles_from_counts
+from tidemark.operators import quantiles
+from tidemark.operators.quantiles import as_row, exact_quantiles, quantile, quantiles_from_counts, with_image
 
 PROBS = ["0", "0.001", "0.25", "0.5", "0.95", "0.999", "1"]
 
@@ -60,3 +62,34 @@ def test_from_counts(spark):
     counts = spark.createDataFrame([(1, 5), (2, 1), (9, 4)], "v int, n bigint")
     got = {float(r.p): r.value for r in quantiles_from_counts(counts, "v", "n", ["0.5", "0.6", "0.61"]).collect()}
     assert got == {0.5: 1, 0.6: 2, 0.61: 9}
+
+
+def test_images_are_the_bits_of_doubles(spark):
+    """Powers of two and their neighbours, numbers of all sizes, subnormals, both zeros, infinities."""
+    rng = random.Random(2)
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308]
+    values += [y for e in range(-1074, 1024) for x in (math.ldexp(1.0, e),) for y in (x, math.nextafter(x, math.inf), math.nextafter(x, 0))]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64) & ~(1 << 62) if i % 2 else rng.getrandbits(63)))[0] for i in range(3000)]
+    values = [v for v in values if not math.isnan(v)]
+    values += [-v for v in values]
+
+    def bits(x):
+        m = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        return -m if x < 0 else m
+    got = with_image(spark.createDataFrame([(v,) for v in values], "x double")).collect()
+    assert len(got) == len(values) and all(r.image == bits(r.x) for r in got)
+
+
+def test_windows_are_bounded_whatever_the_values(spark, monkeypatch):
+    """Ten million distinct values within a fraction of a thousandth: no histogram has more than 65,536 rows."""
+    df = spark.range(10_000_000).selectExpr("1 + id * 1e-12 AS x")
+    widths, plain = [], quantiles.histogram
+
+    def counted(rows, targets, shift):
+        out = plain(rows, targets, shift)
+        widths.append(out.groupBy("p").count().agg(F.max("count")).first()[0])
+        return out
+    monkeypatch.setattr(quantiles, "histogram", counted)
+    got = [r.value for r in exact_quantiles(df, "x", ["0.5"]).collect()]
+    assert got == [1 + 4_999_999 * 1e-12]
+    assert len(widths) == 3 and max(widths) <= 65_536

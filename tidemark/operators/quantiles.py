@@ -1,8 +1,10 @@
 """Exact quantiles of a whole column without gathering the column anywhere.
 
 ``percentile_approx`` sends one sketch per input split to a single task, which is what limits it
-on a very large scan. Here the rank is located by successive histograms instead: every pass is a
-narrow scan with map-side counting, and only histograms of bounded width meet in one task.
+on a very large scan. Here the rank is located by radix selection: every double has a 64-bit image
+that sorts as the doubles do, and four narrow scans count its leading 16, 32, 48 and 64 bits. Counts
+are added up before they move, and a window never has more than 65,536 rows per quantile, however
+many distinct values there are and wherever they lie.
 """
 
 from __future__ import annotations
@@ -12,10 +14,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A monotone bucket number, about 0.2 % wide in value and below 400,000 on each side of zero.
-_LOG_BUCKET = "CAST(signum(x) * floor(log1p(abs(x)) * 512) AS DOUBLE)"
-# Position between the extremes of a logarithmic bucket, in 4096 steps.
-_LINEAR_BUCKET = "CAST(CASE WHEN hi > lo THEN floor((x - lo) / (hi - lo) * 4096) ELSE 0 END AS DOUBLE)"
+#: Bits that one histogram tells apart.
+DIGIT = 16
+_SMALLEST_NORMAL = "pow(2D, -1022)"
+_INFINITY = "CAST('Infinity' AS DOUBLE)"
+#: The exponent of x: the logarithm may be one off next to a power of two, powers of two are exact.
+_GUESS = f"CASE WHEN a >= {_SMALLEST_NORMAL} AND a < {_INFINITY} THEN CAST(floor(log2(a)) AS INT) END"
+_EXPONENT = "CASE WHEN pow(2D, g) > a THEN g - 1 WHEN pow(2D, g + 1) <= a THEN g + 1 ELSE g END"
+#: The bits of x without its sign: exponent, then fraction. Infinity follows the largest number, NaN infinity.
+_MAGNITUDE = f"""CASE WHEN isnan(a) THEN shiftleft(2047L, 52) + 1 WHEN a = {_INFINITY} THEN shiftleft(2047L, 52)
+    WHEN e IS NULL THEN CAST(a / pow(2D, -1074) AS BIGINT)
+    ELSE shiftleft(CAST(e + 1023 AS BIGINT), 52) + CAST((a / pow(2D, e) - 1D) * pow(2D, 52) AS BIGINT) END"""
 
 
 def _p(value: float | str) -> str:
@@ -45,35 +54,38 @@ def exact_quantiles(df: DataFrame, col: Column | str, probs: Sequence[float | st
     """(p, value, above): for every p the smallest value with at least a share p of the rows at or
     below it, and the number of rows strictly above that value.
 
-    Nulls are ignored. Values are compared as doubles.
+    Nulls are ignored. Values are compared as doubles; NaN is above all others.
     """
     x = (F.col(col) if isinstance(col, str) else col).cast("double")
-    values = df.select(x.alias("x")).where("x IS NOT NULL")
-    bucketed = values.selectExpr("x", f"{_LOG_BUCKET} AS b1")
-
-    # Pass 1: logarithmic histogram; fewer than a million buckets whatever the data.
-    coarse = bucketed.groupBy("b1").agg(F.expr("count(1) AS n"), F.expr("min(x) AS lo"), F.expr("max(x) AS hi"))
-    target1 = coarse.selectExpr(
-        "b1", "lo", "hi", "n", "sum(n) OVER (ORDER BY b1) AS upto", "sum(n) OVER () AS total",
-    ).selectExpr("b1", "lo", "hi", "upto - n AS below", "total", f"{_targets(probs)} AS t").selectExpr(
-        "t.p AS p", "t.rank AS rank", "b1", "lo", "hi", "below", "total")
-
-    # Pass 2: inside the bucket found for each p, a linear histogram of fixed width.
-    # The targets are one row per requested p, so they are always small enough to broadcast.
-    place = ["p", "rank", "b1", "lo", "hi", "below", "total"]
-    fine = bucketed.join(F.broadcast(target1), "b1").groupBy(
-        *place, F.expr(f"{_LINEAR_BUCKET} AS b2")).agg(F.expr("count(1) AS n"))
-    target2 = fine.selectExpr(
-        "*", "below + sum(n) OVER (PARTITION BY p ORDER BY b2) AS upto",
-    ).where("rank > upto - n AND rank <= upto").selectExpr(
-        "p", "rank", "b1", "lo", "hi", "upto - n AS below", "total", "b2")
-
-    # Pass 3: distinct values of that sliver, counted before they move.
-    by_value = bucketed.join(F.broadcast(target2), "b1").where(f"{_LINEAR_BUCKET} = b2").groupBy(
-        "p", "rank", "below", "total", "x").agg(F.expr("count(1) AS n"))
-    return by_value.selectExpr(
-        "*", "below + sum(n) OVER (PARTITION BY p ORDER BY x) AS upto",
-    ).where("rank > upto - n AND rank <= upto").selectExpr("p", "x AS value", "total - upto AS above")
+    rows = with_image(df.select(x.alias("x")).where("x IS NOT NULL"))
+    counts = rows.groupBy(F.expr(f"shiftright(image, {64 - DIGIT})").alias("prefix")).agg(F.expr("count(1) AS n"))
+    targets = counts.selectExpr(
+        "prefix", "n", "sum(n) OVER (ORDER BY prefix) AS upto", "sum(n) OVER () AS total",
+    ).selectExpr("prefix", "upto - n AS below", "total", f"{_targets(probs)} AS t").selectExpr(
+        "t.p AS p", "t.rank AS rank", "prefix", "below", "total")
+    for shift in range(64 - 2 * DIGIT, -1, -DIGIT):
+        targets = histogram(rows, targets, shift).selectExpr(
+            "*", "below + sum(n) OVER (PARTITION BY p ORDER BY prefix) AS upto",
+        ).where("rank > upto - n AND rank <= upto").selectExpr("p", "rank", "prefix", "upto - n AS below", "total", "upto", "value")
+    return targets.selectExpr("p", "value", "total - upto AS above")
+
+
+def with_image(values: DataFrame) -> DataFrame:
+    """(x, image): a bigint for every double x that sorts as x does; both zeros have the image 0."""
+    guessed = values.selectExpr("x", "abs(x) AS a").selectExpr("x", "a", f"{_GUESS} AS g")
+    return guessed.selectExpr("x", "a", f"{_EXPONENT} AS e").selectExpr("x", f"{_MAGNITUDE} AS m").selectExpr(
+        "x", "CASE WHEN x < 0 THEN -m ELSE m END AS image")
+
+
+def histogram(rows: DataFrame, targets: DataFrame, shift: int) -> DataFrame:
+    """The next DIGIT bits of the images below each target's prefix, counted; at most 65,536 rows per target.
+
+    There is one target per requested quantile, so they are always small enough to broadcast.
+    """
+    place = ["p", "rank", "below", "total"]
+    near = rows.join(F.broadcast(targets.select("prefix", *place)), F.expr(f"shiftright(image, {shift + DIGIT}) = prefix"))
+    return near.groupBy(*place, F.expr(f"shiftright(image, {shift})").alias("prefix")).agg(
+        F.expr("count(1) AS n"), F.expr("min(x) AS value"))
 
 
 def as_row(quantiles: DataFrame, names: Mapping[str, float | str], field: str = "value") -> DataFrame:
