@@ -35,7 +35,9 @@ def lake(spark, tmp_path_factory):
         line(4, "c2", "oops", "2026-03-01"), line(5, "c9", "7.00", "2026-03-03"))
     put(f"{land}/device_session_logs/2026/03/a.json", json.dumps(SESSION), "{broken")
     jobs.run(spark, cfg, "run-1")
-    put(f"{land}/customers/full_load/b.csv", CUSTOMERS, customer("c1", "verified", "2026-03-05 00:00:00"))
+    # An older row of c2 arrives late: ingested last, but not the last update.
+    put(f"{land}/customers/full_load/b.csv", CUSTOMERS, customer("c1", "verified", "2026-03-05 00:00:00"),
+        customer("c2", "rejected", "2025-12-01 00:00:00").replace("2026-01-01", "2026-03-20"))
     put(f"{land}/transactions/2026/04/b.csv", HEADER, line(6, "c2", "20.00", "2026-04-01"))
     jobs.run(spark, cfg, "run-2")
     return cfg
@@ -68,6 +70,19 @@ def test_marts_after_two_runs(spark, lake):
     assert all(table(name).count() > 0 for name in jobs.GOLD_TABLES)
 
 
+def test_one_truth_about_a_customer(spark, lake):
+    """After an out-of-order delivery the flags and attributes of facts are those of the dimension."""
+    dim = {r.customer_id: r for r in spark.read.parquet(jobs.gold_path(lake, "dim_customer")).collect()}
+    known = read_silver(spark, lake, "transactions_enriched").where("NOT is_orphan_customer AND customer_id IS NOT NULL").collect()
+    assert {r.customer_id for r in known} == set(dim) == {"c1", "c2"}
+    assert all((r.kyc_status, r.signup_date) == (dim[r.customer_id].kyc_status, dim[r.customer_id].signup_date) for r in known)
+    assert all(r.is_signup_date_suspect == (r.txn_date < dim[r.customer_id].signup_date) for r in known)
+    flagged = read_silver(spark, lake, "customers_flagged").collect()
+    assert {r.customer_id: r.signup_date for r in flagged} == {c: r.signup_date for c, r in dim.items()}
+    history = spark.read.parquet(f"{jobs.history_path(lake)}/state").where("customer_id = 'c2'")
+    assert sorted({r.kyc_status for r in history.collect()}) == ["rejected", "verified"]
+
+
 def test_scorecard_over_the_lake(spark, lake):
     card = jobs.check_quality(spark, lake, F.lit("2026-05-01").cast("date"))
     found = {(r.check_name, r.subject): r.value for r in scorecard.findings(card).collect()}

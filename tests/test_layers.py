@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,71 @@ def test_scd2_as_a_stream(spark, tmp_path):
     assert {tuple(r) for r in scd2.current_version(spark, out).collect()} == brute_scd2(rows)
 
 
+def sizes(files):
+    return sum(os.path.getsize(unquote(f.removeprefix("file://"))) for f in files)
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path, monkeypatch):
+    """One percent of the keys: less than five percent of the log and of the state is read and written."""
+    path = str(tmp_path / "dim")
+    apply = scd2.merge_batch(path, "k", ["a"], "t", buckets=256)
+    first = spark.range(2000).selectExpr("CAST(id % 1000 AS INT) AS k", "concat('a', id) AS a", "timestamp_seconds(id) AS t")
+    apply(first, 0)
+    whole = {what: sizes(spark.read.parquet(f"{path}/{what}/version=0").inputFiles()) for what in ("log", "state")}
+    read, plain = [], scd2.read_buckets
+
+    def seen(spark, path, what, written):
+        out = plain(spark, path, what, written)
+        read.append((what, sizes(out.inputFiles())))
+        return out
+    monkeypatch.setattr(scd2, "read_buckets", seen)
+    apply(spark.range(10).selectExpr("CAST(id * 97 AS INT) AS k", "'new' AS a", "timestamp_seconds(9000 + id) AS t"), 1)
+    for what in ("log", "state"):
+        assert 0 < max(n for w, n in read if w == what) < 0.05 * whole[what]
+        assert sizes(spark.read.parquet(f"{path}/{what}/version=1").inputFiles()) < 0.05 * whole[what]
+    monkeypatch.undo()
+    got = scd2.current_version(spark, path)
+    assert got.where("is_current").count() == 1000 and got.where("a = 'new' AND is_current").count() == 10
+
+
+def test_replaced_buckets_are_removed_one_batch_later(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    apply = scd2.merge_batch(path, "k", ["a"], "t", buckets=4)
+    rows = [[(k, f"a{i}", T0 + dt.timedelta(days=i)) for k in (1, 2, 3, None)] for i in range(4)]
+    for i, part in enumerate(rows):
+        apply(spark.createDataFrame(part, "k int, a string, t timestamp"), i)
+    assert sorted(os.listdir(f"{path}/manifest")) == ["version=2", "version=3"]
+    assert [len([d for d in os.listdir(f"{path}/state/version={i}") if d.startswith("bucket=")]) > 0 for i in range(4)] == [False, False, True, True]
+    assert scd2.current_version(spark, path).count() == 16
+
+
+def test_a_failed_batch_leaves_readers_on_the_state_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dim")
+    apply = scd2.merge_batch(path, "k", ["a"], "t")
+    apply(spark.createDataFrame([(1, "a", T0)], "k int, a string, t timestamp"), 0)
+    news = spark.createDataFrame([(1, "b", T0 + dt.timedelta(days=1)), (5, "c", T0)], "k int, a string, t timestamp")
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(scd2, "scd2_merge", broken)
+        apply(news, 1)
+    assert [tuple(r)[:2] for r in scd2.current_version(spark, path).collect()] == [(1, "a")]
+    apply(news, 1)
+    assert sorted(tuple(r)[:2] for r in scd2.current_version(spark, path).collect()) == [(1, "a"), (1, "b"), (5, "c")]
+
+
+def test_batches_without_rows(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    apply = scd2.merge_batch(path, "k", ["a"], "t")
+    none = spark.createDataFrame([], "k int, a string, t timestamp")
+    apply(none, 0)
+    assert scd2.current_version(spark, path).count() == 0
+    apply(spark.createDataFrame([(1, "a", T0)], "k int, a string, t timestamp"), 1)
+    apply(none, 2)
+    assert scd2.current_version(spark, path).count() == 1
+
+
 LANDED = ("transaction_id string, customer_id string, txn_timestamp string, amount string, mcc_code string, "
           "is_fraud_flag string, txn_date string, channel string")
 

@@ -12,7 +12,7 @@ from tidemark.functions import masks
 from tidemark.operators import thresholds, velocity
 from tidemark.plans import gold, scd2, scorecard, silver
 from tidemark.streaming.ingest import ingest_all
-from tidemark.streaming.refine import latest_rows, read_silver, refine, silver_path
+from tidemark.streaming.refine import LOAD, latest_rows, read_silver, refine, silver_path
 
 CUSTOMER_ATTRS = ("full_name", "dob", "signup_date", "segment", "risk_band", "address", "kyc_status")
 
@@ -27,6 +27,24 @@ def gold_path(cfg: Config, name: str) -> str:
     return cfg.table_path("gold", name)
 
 
+def history_path(cfg: Config) -> str:
+    return cfg.table_path("gold", "customer_history")
+
+
+def build_history(spark: SparkSession, cfg: Config) -> None:
+    """Drains new loads of customers into their history, which reads and writes only the buckets of their keys."""
+    place = silver_path(cfg, "customers")
+    loads = spark.readStream.schema(spark.read.parquet(place).schema).parquet(place).drop(LOAD)
+    merge = scd2.merge_batch(history_path(cfg), "customer_id", CUSTOMER_ATTRS, "last_updated_ts", "_ingested_at")
+    (loads.writeStream.foreachBatch(merge).trigger(availableNow=True)
+     .option("checkpointLocation", f"{cfg.lake_root}/checkpoints/customer_history").start().awaitTermination())
+
+
+def current_customers(spark: SparkSession, cfg: Config) -> DataFrame:
+    """One row per customer, the last by the time of its update: what all tables know about a customer."""
+    return gold.dim_customer(scd2.current_version(spark, history_path(cfg)))
+
+
 def build_silver(spark: SparkSession, cfg: Config, months: Sequence[str] | None = None) -> None:
     """Types what is new, then rebuilds the enriched transactions, whose flags look at all rows.
 
@@ -35,9 +53,10 @@ def build_silver(spark: SparkSession, cfg: Config, months: Sequence[str] | None
     """
     for spec in cfg.specs:
         refine(spark, spec, cfg)
+    build_history(spark, cfg)
     enriched = silver.enrich_transactions(
         read_silver(spark, cfg, "transactions"),
-        latest_rows(read_silver(spark, cfg, "customers"), "customer_id"),
+        current_customers(spark, cfg),
         latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id"),
     ).withColumn("txn_month", F.date_format("txn_date", "yyyy-MM"))
     if months is not None:
@@ -53,7 +72,7 @@ def build_flags(spark: SparkSession, cfg: Config) -> None:
 
     Travel is judged within a customer: sessions without one are kept and never anomalous.
     """
-    customers = latest_rows(read_silver(spark, cfg, "customers"), "customer_id")
+    customers = current_customers(spark, cfg)
     logs = read_silver(spark, cfg, "device_session_logs").withColumns(
         {"_lat": F.col("geo.lat"), "_long": F.col("geo.long"), "_accuracy": F.col("geo.accuracy_m")})
     unknown = F.col("customer_id").isNull()
@@ -91,9 +110,7 @@ def build_gold(spark: SparkSession, cfg: Config) -> None:
         df.write.mode("overwrite").parquet(gold_path(cfg, name))
         return spark.read.parquet(gold_path(cfg, name))
 
-    observed = read_silver(spark, cfg, "customers")
-    history = scd2.scd2(observed, "customer_id", CUSTOMER_ATTRS, "last_updated_ts", "_ingested_at")
-    customers = save(gold.dim_customer(history), "dim_customer")
+    customers = save(current_customers(spark, cfg), "dim_customer")
     merchants = latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id")
     save(gold.dim_merchant(merchants), "dim_merchant")
     fact = save(gold.fact_transactions(read_silver(spark, cfg, "transactions_enriched")), "fact_transactions")
@@ -107,7 +124,7 @@ def build_gold(spark: SparkSession, cfg: Config) -> None:
 def check_quality(spark: SparkSession, cfg: Config, today: Column) -> DataFrame:
     """The scorecard over the typed tables."""
     tables = {name: read_silver(spark, cfg, name) for name in ("transactions", "device_session_logs")}
-    tables["customers"] = latest_rows(read_silver(spark, cfg, "customers"), "customer_id")
+    tables["customers"] = current_customers(spark, cfg)
     tables["merchants"] = latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id")
     return scorecard.scorecard(tables, today)
 

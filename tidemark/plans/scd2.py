@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,30 +53,89 @@ def scd2_merge(
     return untouched.unionByName(scd2(log.join(keys, match, "left_semi"), key, attrs, ts, tie, policy))
 
 
+#: Hash buckets of a maintained dimension. Fixed for its lifetime: a batch rewrites only the buckets its keys fall into.
+BUCKETS = 256
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _manifest(spark: SparkSession, path: str, version: int, replaced: bool = False) -> dict[int, int]:
+    """Bucket -> the version that wrote it last, or which that one has replaced; at most one entry per bucket."""
+    rows = spark.read.parquet(f"{path}/manifest/version={version}").where(F.col("replaced") == replaced).collect()
+    return {r["bucket"]: r["written"] for r in rows}
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(f"{path}/current").first()["version"]
+
+
+def read_buckets(spark: SparkSession, path: str, what: str, written: Mapping[int, int]) -> DataFrame:
+    """``log`` or ``state`` in the given versions of the given buckets, and of no others."""
+    like = spark.read.parquet(f"{path}/schema/{what}")
+    files = [f"{path}/{what}/version={v}/bucket={b}" for b, v in sorted(written.items())]
+    return spark.read.schema(like.schema).parquet(*files) if files else like
+
+
 def current_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete state written by :func:`merge_batch`."""
-    newest = spark.read.parquet(f"{path}/current").first()["version"]
-    return spark.read.parquet(f"{path}/version={newest}")
+    return read_buckets(spark, path, "state", _manifest(spark, path, newest_version(spark, path)))
+
 
+def _remove(spark: SparkSession, names: Iterable[str]) -> None:
+    """Removes directories; those that are gone already don't matter."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        place = jvm.org.apache.hadoop.fs.Path(name)
+        place.getFileSystem(conf).delete(place, True)
 
-def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str, tie: str | None = None):
+
+def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str, tie: str | None = None, buckets: int = BUCKETS):
     """A ``foreachBatch`` function that maintains the dimension below ``path``.
 
-    Batch n adds its observations to the log, reads state n-1, writes state n and then names it in
-    ``current``; a repeated batch changes nothing. Two states are enough to go on from; older ones
-    may be removed at any time.
+    Observations (the log) and versions (the state) lie in hash buckets of the key. Batch n reads the
+    buckets that its keys fall into, writes them anew as version n, writes a manifest that names the
+    version of every bucket, and then names n in ``current``: readers see the old state until all is
+    written, and a repeated batch changes nothing. What a batch replaces is removed by the next one, so
+    that readers of the state before may finish.
     """
+    columns = list(dict.fromkeys([key, *attrs, ts, *([tie] if tie else [])]))
+
+    def save(df: DataFrame, what: str, version: int) -> None:
+        spark = df.sparkSession
+        placed = df.withColumn("bucket", bucket_of(key, buckets))
+        # A bucket that one key fills is split over several files.
+        placed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/{what}/version={version}")
+        if not version:
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/schema/{what}")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = list(dict.fromkeys([key, *attrs, ts, *([tie] if tie else [])]))
-        batch.select(*columns).write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
-        news = spark.read.parquet(f"{path}/log/batch={batch_id}")
-        if batch_id == 0:
-            state = scd2(news, key, attrs, ts, tie)
-        else:
-            log = spark.read.parquet(f"{path}/log").where(F.col("batch") <= batch_id).drop("batch")
-            state = scd2_merge(spark.read.parquet(f"{path}/version={batch_id - 1}"), log, news, key, attrs, ts, tie)
-        state.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        batch.select(*columns).write.mode("overwrite").parquet(f"{path}/news")
+        news = spark.read.parquet(f"{path}/news")
+        # At most one number per bucket.
+        touched = [r[0] for r in news.select(bucket_of(key, buckets)).distinct().collect()]
+        written = _manifest(spark, path, batch_id - 1) if batch_id else {}
+        expired = _manifest(spark, path, batch_id - 1, replaced=True) if batch_id else {}
+        if touched or not batch_id:
+            old = {b: written[b] for b in touched if b in written}
+            if old:
+                log = read_buckets(spark, path, "log", old).unionByName(news)
+                save(log, "log", batch_id)
+                fresh = read_buckets(spark, path, "log", dict.fromkeys(touched, batch_id))
+                state = scd2_merge(read_buckets(spark, path, "state", old), fresh, news, key, attrs, ts, tie)
+            else:
+                save(news, "log", batch_id)
+                state = scd2(news, key, attrs, ts, tie)
+            save(state, "state", batch_id)
+        # Replaced by the last batch, so used by states before it only.
+        _remove(spark, [f"{path}/{what}/version={v}/bucket={b}" for b, v in expired.items() for what in ("log", "state")])
+        named = written | dict.fromkeys(touched, batch_id)
+        replaced = [(b, written[b], True) for b in touched if b in written]
+        rows = [(b, v, False) for b, v in named.items()] + replaced
+        spark.createDataFrame(rows, "bucket int, written long, replaced boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={batch_id}")
         spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+        _remove(spark, [f"{path}/manifest/version={batch_id - 2}"] if batch_id > 1 else [])
 
     return apply
