@@ -1,8 +1,9 @@
 """Alignment of two tokenizers over a corpus, with corpus-wide counts of linked token pairs.
 
-Both tokenizers cut between a solid character and a following blank or line end, so a text is a
-sequence of units (blanks and the solid run after them) whose alignments don't depend on each other. A
-unit is aligned once and remembered; a text is put together from its units.
+Both tokenizers cut between a solid character and a following blank or line end, and between a letter
+and a sign after it. So a text is a sequence of units (a word with its blank, the signs after it, or
+whatever stands up to the next blank) whose alignments don't depend on each other. A unit is aligned
+once and remembered; a text is put together from its units.
 
 First pass: each task counts the pairs of its texts. The distinct pairs get a minimal perfect hash;
 the counts of each task become a dense vector indexed by it, and the vectors are summed up a tree.
@@ -21,6 +22,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,10 @@ MEMORY, HELD = 400_000, 1 << 24
 BLOCK = 1 << 21
 #: Slots of a row of a dense vector, and rows that one step of the tree adds up.
 SLOTS, FAN = 1 << 14, 32
-_UNIT_ENDS = re.compile("(?<=[^\\s\u180e])(?=[ \n])")
+#: Where a text may be cut in any case.
+_BREAK = re.compile("(?<=[^\\s\u180e])(?=[ \n])")
+#: Letters, and the signs that no token of B joins to a letter before them (A never does).
+_LETTER, _SIGNS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_symbols() -> dict[str, int]:
@@ -63,6 +68,14 @@ class _Rows:
         return self.data[:self.n]
 
 
+def _sums(size: np.ndarray, ids: list[list[int]]) -> np.ndarray:
+    """The bytes of each list of tokens."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    upto = np.concatenate([[0], np.cumsum(size[np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))])])
+    stop = np.cumsum(n)
+    return upto[stop] - upto[stop - n]
+
+
 class Aligner:
     """Aligns units under tokenizer A (byte-level BPE) and B (a piece model that puts a blank first)."""
 
@@ -95,6 +108,10 @@ class Aligner:
         joined = re.compile(b"[^ ][ ]|\n.|.\n", re.S)
         self.by_unit = (not steps["normalizer"] and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
                         and not any(len(t) > 1 and joined.search(t) for t in self.b_bytes))
+        pieces = [t.decode("utf-8", "replace") for t in self.b_bytes]
+        signs = "".join(re.escape(c) for c in _SIGNS if not any(re.search(_LETTER + re.escape(c), p) for p in pieces if c in p))
+        word = f" {_LETTER}+(?=[{signs} \n]|\\Z)|[{signs}]+(?=[ \n]|\\Z)|" if signs else ""
+        self.units = re.compile(f"{word}.+?(?=(?<=[^\\s\u180e])[ \n]|\\Z)", re.S).findall
         self.forget()
 
     def forget(self) -> None:
@@ -125,12 +142,12 @@ class Aligner:
             yield [whole]
             return
         while len(whole) - begin > BLOCK:
-            end = _UNIT_ENDS.search(whole, begin + BLOCK)
+            end = _BREAK.search(whole, begin + BLOCK)
             if not end:
                 break
-            yield _UNIT_ENDS.split(whole[begin:end.start()])
+            yield self.units(whole, begin, end.start())
             begin = end.start()
-        yield _UNIT_ENDS.split(whole[begin:])
+        yield self.units(whole, begin)
 
     def learn(self, units: list[str]) -> None:
         """Align units not seen before."""
@@ -141,11 +158,15 @@ class Aligner:
         bare = [u[0] == " " < u for u in units]
         b = [ids if given else ids[1:] for given, ids in
              zip(bare, self.b.encode([u[1:] if given else "a" + u for given, u in zip(bare, units)], num_threads=1))]
-        valid = np.array([b"".join(map(self.a_bytes.__getitem__, x)) == r and b"".join(map(self.b_bytes.__getitem__, y)) == r
-                          for x, y, r in zip(a, b, raw)], dtype=bool)
-        a, b = ([ids if ok else [] for ids, ok in zip(x, valid.tolist())] for x in (a, b))
-        n_a, n_b = (np.array([len(ids) for ids in x], dtype=np.int64) for x in (a, b))
-        ids_a, ids_b = (np.array([i for ids in x for i in ids], dtype=np.int64) for x in (a, b))
+        valid = np.ones(len(units), dtype=bool)
+        for ids, size, names in ((a, self.a_size, self.a_bytes), (b, self.b_size, self.b_bytes)):
+            said = list(map(names.__getitem__, chain.from_iterable(ids)))
+            if b"".join(said) != b"".join(raw) or (_sums(size, ids) != list(map(len, raw))).any():
+                valid &= np.array([b"".join(map(names.__getitem__, x)) == r for x, r in zip(ids, raw)], dtype=bool)
+        if not valid.all():
+            a, b = ([ids if ok else [] for ids, ok in zip(x, valid.tolist())] for x in (a, b))
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
         # Valid units follow each other without gaps, so all offsets are those of one long text.
         ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -162,9 +183,8 @@ class Aligner:
         order = np.argsort(group, kind="stable")
         said = "".join(map(self.names.__getitem__, code[order].tolist()))
         cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, self.name_size[code], minlength=len(units)))]).astype(np.int64).tolist()
-        for k, u in enumerate(units):
-            self.known[u] = len(self.strings)
-            self.strings.append(said[cuts[k]:cuts[k + 1]])
+        self.known.update(zip(units, range(len(self.strings), len(self.strings) + len(units))))
+        self.strings += [said[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
         self.begin.add(self.keys.n + np.cumsum(n_links) - n_links)
         self.keys.add(ids_a[last_a] * self.width + ids_b[last_b])
         for rows, more in ((self.n_a, n_a), (self.n_b, n_b), (self.n_links, n_links), (self.valid, valid)):
@@ -177,7 +197,7 @@ class Aligner:
             self.forget()
             new = set(units)
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
 
 
