@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 
@@ -182,20 +183,41 @@ def test_scratch_follows_the_session(spark):
     assert path.startswith(configured) if configured else os.path.isdir(os.path.dirname(path))
 
 
-def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
+def test_headers_take_no_job(spark, tmp_path):
     from tidemark.streaming.rescue import csv_headers
     paths = []
     for i in range(12):
         put(str(tmp_path / f"in/f {i}.csv"), "" if i == 3 else "a,b,B" if i % 2 else "\ufeffx,,y", "1,2,3", "4,5,6")
-        paths.append(f"file://{tmp_path}/in/f%20{i}.csv" if i == 5 else str(tmp_path / f"in/f {i}.csv"))
+        paths.append(str(tmp_path / f"in/f {i}.csv"))
+    put(str(tmp_path / "in/nothing.csv"))
+    with gzip.open(tmp_path / "in/packed.csv.gz", "wt") as f:
+        f.write("g,h\n1,2\n")
+    odd = [f"file:{tmp_path}/in/f 5.csv", str(tmp_path / "in/nothing.csv"), str(tmp_path / "in/packed.csv.gz")]
     spark.sparkContext.setJobGroup("headers", "headers")
     try:
-        got = csv_headers(spark, [p for p in paths if "%20" not in p])
+        got = csv_headers(spark, paths + odd)
         jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
     finally:
         spark.sparkContext.setJobGroup("", "")
-    assert jobs <= 3
+    assert jobs == 0
     assert got[paths[0]] == ("x", "_c1", "y") and got[paths[1]] == ("a", "b1", "B2") and got[paths[3]] == ("1", "2", "3")
+    assert [got[p] for p in odd] == [("a", "b1", "B2"), (), ("g", "h")]
+
+
+def test_a_batch_reads_its_files_once(spark, cfg):
+    """Bytes that the file system hands out while a batch is ingested: about those of its files, headers included."""
+    spec = spec_of(cfg, "customers")
+    for i in range(4):
+        order = ["customer_id", "full_name", "address"][::(-1) ** i]
+        put(f"{spec.source}/full_load/{i}.csv", ",".join(order), *[f"{n},{'x' * 150},{'y' * 150}" for n in range(15_000)])
+    size = sum(os.path.getsize(f"{spec.source}/full_load/{i}.csv") for i in range(4))
+
+    def handed_out():
+        return sum(s.getBytesRead() for s in spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = handed_out()
+    ingest.ingest(spark, spec, cfg, "r")
+    assert size > 15_000_000 and handed_out() - before < 1.1 * size
+    assert raw(spark, cfg, "customers").count() == 60_000
 
 
 def test_a_failure_without_message_stops_nobody(spark, tmp_path, monkeypatch):

@@ -646,6 +646,16 @@ _BODIES.update({
         FROM landed JOIN transactions t ON landed.transaction_id = CAST(t.transaction_id AS VARCHAR)""",
     "ingest_sessions": """SELECT CAST(session_id AS VARCHAR) AS session_id, CAST(customer_id AS VARCHAR) AS customer_id,
         lat, long, city, accuracy_m, os, app_version, CAST(NULL AS VARCHAR) AS _rescued_data FROM sessions""",
+    "ingest_rescued": f"""SELECT customer_id, full_name, dob, signup_date, segment, risk_band, address, kyc_status, last_updated_ts,
+        CASE WHEN k % 3 = 1 AND k % 5 = 0 THEN '{{"vip":"yes"}}'
+          WHEN k % 3 = 2 AND k % 7 = 0 THEN '{{"_corrupt_record":"' || concat_ws(',', customer_id, full_name, dob, signup_date, segment,
+            risk_band, address, kyc_status, last_updated_ts, 'one more') || '"}}' END AS _rescued_data
+        FROM (SELECT customer_id AS k, CAST(customer_id AS VARCHAR) AS customer_id, full_name, CAST(dob AS VARCHAR) AS dob,
+          CAST(signup_date AS VARCHAR) AS signup_date, segment, risk_band, address, kyc_status,
+          strftime(last_updated_ts, {_SECOND}) AS last_updated_ts FROM customers)""",
+    "ingest_schema_memory": """SELECT CAST(merchant_id AS VARCHAR) AS merchant_id, merchant_name, category,
+        CASE WHEN merchant_id % 2 <> 0 THEN '{"vip":"yes"}' END AS _rescued_data,
+        CASE WHEN merchant_id % 2 = 0 THEN 'first' ELSE 'second' END AS _pipeline_run_id FROM merchants""",
     "audit_cols": """SELECT 'registry-run' AS _pipeline_run_id, count(*) AS n, count(*) AS with_file,
         count(*) AS with_time FROM customers""",
 })

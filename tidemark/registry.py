@@ -826,6 +826,42 @@ def ingest_sessions(spark, d):
         "_rescued_data")
 
 
+@query
+def ingest_rescued(spark, d):
+    """Three kinds of files: as declared, with an unknown column and others reordered, with a field too many on some lines."""
+    root = scratch_path(spark, "lake")
+    spec = next(s for s in config.default_specs(f"{root}/landing") if s.name == "customers")
+    cfg = config.Config("dev", f"{root}/landing", f"{root}/lake", specs=(spec,))
+    names = config.CUSTOMERS_SCHEMA.fieldNames()
+    rows = roles.customers(spark, d).withColumn("k", F.col("customer_id"))
+    rows = rows.select("k", *[F.col(c).cast("string").alias(c) for c in names if c != "last_updated_ts"],
+                       F.date_format("last_updated_ts", "yyyy-MM-dd HH:mm:ss").alias("last_updated_ts"))
+    rows.where("k % 3 = 0").select(names).write.option("header", True).csv(f"{spec.source}/full_load/plain")
+    vip = F.when(F.col("k") % 5 == 0, F.lit("yes")).alias("vip")
+    rows.where("k % 3 = 1").select(*names[::-1][:4], vip, *names[::-1][4:]).write.option("header", True).csv(f"{spec.source}/full_load/extra")
+    line = F.concat_ws(",", *names, F.when(F.col("k") % 7 == 0, F.lit("one more")))
+    # Lines are written as they are: the separator of this writer occurs in none of them.
+    (rows.where("k % 3 = 2").select(line.alias(",".join(names))).write.option("header", True).option("sep", "\u0001")
+     .csv(f"{spec.source}/full_load/ragged"))
+    ingest.ingest(spark, spec, cfg, _RUN)
+    return ingest.bronze(spark, spec, cfg).select(*names, "_rescued_data")
+
+
+@query
+def ingest_schema_memory(spark, d):
+    """A schema inferred from the first drop holds for the second: its new column is rescued, not added."""
+    root = scratch_path(spark, "lake")
+    spec = config.IngestSpec("merchants", "csv", f"{root}/landing/merchants", "bronze_merchants_raw")
+    cfg = config.Config("dev", f"{root}/landing", f"{root}/lake", specs=(spec,))
+    rows = roles.merchants(spark, d).select("merchant_id", "merchant_name", "category")
+    even = F.col("merchant_id") % 2 == 0
+    landing.write_csv(rows.where(even), f"{spec.source}/first")
+    ingest.ingest(spark, spec, cfg, "first")
+    landing.write_csv(rows.where(~even).select(F.lit("yes").alias("vip"), "*"), f"{spec.source}/second")
+    ingest.ingest(spark, spec, cfg, "second")
+    return ingest.bronze(spark, spec, cfg).select("merchant_id", "merchant_name", "category", "_rescued_data", "_pipeline_run_id")
+
+
 @query
 def audit_cols(spark, d):
     """Rows per run with how many carry a file name and an ingestion time."""

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import csv
-import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,8 @@ RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
 _CORRUPT = "_corrupt_record"
 _GLOB_CHARS = "\\{}[]*?"
+#: Bytes asked for at the beginning of a file, and files opened at a time.
+HEADER_BUFFER, HEADER_READERS = 4096, 32
 
 
 def _literal_path(path: str) -> str:
@@ -22,24 +23,32 @@ def _literal_path(path: str) -> str:
     return "".join(f"\\{c}" if c in _GLOB_CHARS else c for c in path)
 
 
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file that is not blank, read up to its end and no further than a buffer beyond."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place, HEADER_BUFFER)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        reader.close()
+
+
 def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each file, in one job however many files there are.
+    """Column names of each file, from the first line that is not blank.
 
-    The first line that is not blank is the header. Only blocks at the start of a file are looked
-    at; the driver gets one line per file of the batch.
+    Only the beginning of a file is opened, many files at a time and without a Spark job, so that rows
+    are scanned once. ``paths`` is the file list of one micro-batch, whose length the trigger bounds.
     """
-    lines = spark.read.text([_literal_path(p) for p in paths]).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("nr"))
-    first = lines.where("block = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "nr").alias("line"))
-    by_file = {row["file"]: row["line"] for row in first.collect()}
-    by_name = {_plain(file): line for file, line in by_file.items()}
-    return {p: _names(by_name.get(_plain(p))) for p in paths}
-
-
-def _plain(path: str) -> str:
-    """A file's path without scheme and escapes, as both listings and metadata have it."""
-    return unquote(re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path))
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
+    return {p: _names(line) for p, line in zip(paths, lines)}
 
 
 def _names(line: str | None) -> tuple[str, ...]:
