@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from test_ingest import HEADER, SESSION, put
 
 from tidemark.config import Config
-from tidemark.plans import jobs, scorecard
-from tidemark.streaming.refine import read_silver
+from tidemark.plans import jobs, scorecard, silver
+from tidemark.streaming.ingest import ingest_all
+from tidemark.streaming.refine import latest_rows, read_silver
 
 CUSTOMERS = "customer_id,full_name,dob,signup_date,segment,risk_band,address,kyc_status,last_updated_ts"
 MERCHANTS = "merchant_id,merchant_name,mcc_code,category,country,onboarding_date,merchant_risk_score"
@@ -91,18 +92,52 @@ def test_scorecard_over_the_lake(spark, lake):
     assert scorecard.verdict(card).first().verdict == "RED"
 
 
-def test_only_named_months_are_rewritten(spark, lake):
-    def stamps():
-        return {r.month: r.files for r in read_silver(spark, lake, "transactions_enriched").select(
-            "txn_month", F.col("_metadata.file_path").alias("f")).groupBy(F.col("txn_month").alias("month")).agg(
-            F.array_sort(F.collect_set("f")).alias("files")).collect()}
+def month_files(spark, lake):
+    return {r.month: r.files for r in read_silver(spark, lake, "transactions_enriched").select(
+        "txn_month", F.col("_metadata.file_path").alias("f")).groupBy(F.col("txn_month").alias("month")).agg(
+        F.array_sort(F.collect_set("f")).alias("files")).collect()}
 
-    before, rows = stamps(), read_silver(spark, lake, "transactions_enriched").count()
-    jobs.build_silver(spark, lake, months=["2026-04"])
-    after = stamps()
-    assert set(before) == set(after) == {"2026-03", "2026-04"}
-    assert before["2026-03"] == after["2026-03"] and before["2026-04"] != after["2026-04"]
-    assert read_silver(spark, lake, "transactions_enriched").count() == rows
+
+def same_as_rebuilt(spark, lake):
+    """The table against one built at once, row by row, a threshold of its own included."""
+    kept = read_silver(spark, lake, "transactions_enriched")
+    full = silver.enrich_transactions(
+        read_silver(spark, lake, "transactions"), jobs.current_customers(spark, lake),
+        latest_rows(read_silver(spark, lake, "merchants"), "merchant_id")).withColumn("txn_month", F.date_format("txn_date", "yyyy-MM"))
+    kept, full = kept.select(sorted(kept.columns)), full.select(sorted(full.columns))
+    return kept.exceptAll(full).isEmpty() and full.exceptAll(kept).isEmpty()
+
+
+def test_only_touched_months_are_rewritten(spark, tmp_path):
+    """Month by month: new rows, late rows, rows without a date, a customer's new data, a moved threshold."""
+    cfg = Config("dev", str(tmp_path / "landing"), str(tmp_path / "lake"))
+    land = cfg.landing_root
+    put(f"{land}/customers/full_load/a.csv", CUSTOMERS, *[customer(f"c{i}", "pending", "2026-02-01 00:00:00") for i in (1, 2, 3)])
+    put(f"{land}/merchants/full_load/a.csv", MERCHANTS, "m1,Shop,5411,food,US,2020-01-01,1.5")
+    put(f"{land}/device_session_logs/2026/03/a.json", json.dumps(SESSION))
+    for month, cust in ((1, "c1"), (2, "c2"), (3, "c3")):
+        put(f"{land}/transactions/2026/0{month}/a.csv", HEADER, *[line(100 * month + i, cust, f"{100 * month + i}.00", f"2026-0{month}-05") for i in range(5)])
+    put(f"{land}/transactions/2026/03/b.csv", HEADER, line(399, "c3", "9999.00", "2026-03-06"))
+
+    def step(*files):
+        for path, *lines in files:
+            put(f"{land}/{path}", *lines)
+        ingest_all(spark, cfg, "r")
+        before = month_files(spark, cfg) if files else {}
+        months = jobs.build_silver(spark, cfg)
+        after = month_files(spark, cfg)
+        rewritten = {m for m in after if after[m] != before.get(m)}
+        assert same_as_rebuilt(spark, cfg)
+        return months, rewritten
+    assert step() == (None, {"2026-01", "2026-02", "2026-03"})
+    # A late row of January and one without a date; both are below the threshold, which stays.
+    undated = line(151, "c2", "2.00", "2026-01-09").removesuffix("2026-01-09")
+    assert step(("transactions/2026/01/late.csv", HEADER, line(150, "c2", "1.00", "2026-01-09")),
+                ("transactions/2026/04/undated.csv", HEADER, undated)) == ([None, "2026-01"], {None, "2026-01"})
+    # c3 is known otherwise: its month only. A larger amount than any moves the threshold; no other row lies between.
+    assert step(("customers/full_load/b.csv", CUSTOMERS, customer("c3", "verified", "2026-02-09 00:00:00")),
+                ("transactions/2026/05/big.csv", HEADER, line(500, "c1", "20000.00", "2026-05-01"))) == (
+        ["2026-03", "2026-05"], {"2026-03", "2026-05"})
 
 
 def test_flagged_tables_and_thresholds(spark, lake):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.sequence import SkewPolicy
+from tidemark.plans import enriched as monthly
 from tidemark.plans import gold, scd2, scorecard, silver
 
 T0 = dt.datetime(2024, 1, 1)
@@ -170,6 +171,31 @@ def test_batches_without_rows(spark, tmp_path):
     assert scd2.current_version(spark, path).count() == 1
 
 
+def test_a_moved_threshold_restates_only_rows_between(spark, tmp_path):
+    """Half of the amounts are outliers here: new rows in March move the threshold over rows of February, not of January."""
+    customers = spark.createDataFrame([("c1", "retail", "low", "ok", dt.date(2020, 1, 1))], "customer_id string, segment string, risk_band string, kyc_status string, signup_date date")
+    merchants = spark.createDataFrame([("m1", "Shop", "food", 1.0, 5411)], "merchant_id string, merchant_name string, category string, merchant_risk_score double, mcc_code int")
+    rows = [(f"t{a}", "c1", "m1", 5411, float(a), dt.date(2026, month, 1), 0) for month, amounts in ((1, range(1, 8)), (2, range(20, 28))) for a in amounts]
+    more = [(f"t{a}", "c1", "m1", 5411, float(a), dt.date(2026, 3, 1), 1) for a in range(40, 46)]
+    schema = "transaction_id string, customer_id string, merchant_id string, mcc_code int, amount double, txn_date date, load int"
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+
+    def refresh(data):
+        months = monthly.refresh(spark.createDataFrame(data, schema), customers, merchants, table, state, "load", 0.5)
+        got = {r.transaction_id: r.is_amount_outlier for r in spark.read.parquet(table).collect()}
+        middle = sorted(r[4] for r in data)[(len(data) + 1) // 2 - 1]
+        assert got == {r[0]: r[4] > middle for r in data}
+        return months
+    assert refresh(rows) is None
+    assert refresh(rows + more) == ["2026-02", "2026-03"]
+    # A refresh that fails before it says so is done again.
+    late = [*rows, *more, ("late", "c1", "m1", 5411, 3.0, dt.date(2026, 1, 2), 2)]
+    with pytest.MonkeyPatch.context() as m, pytest.raises(OSError):
+        m.setattr(monthly, "enrich_transactions", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        refresh(late)
+    assert refresh(late)[0] == "2026-01"
+
+
 LANDED = ("transaction_id string, customer_id string, txn_timestamp string, amount string, mcc_code string, "
           "is_fraud_flag string, txn_date string, channel string")
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import PII_COLUMNS, Config
 from tidemark.functions import masks
 from tidemark.operators import thresholds, velocity
-from tidemark.plans import gold, scd2, scorecard, silver
+from tidemark.plans import enriched, gold, scd2, scorecard, silver
 from tidemark.streaming.ingest import ingest_all
 from tidemark.streaming.refine import LOAD, latest_rows, read_silver, refine, silver_path
 
@@ -45,26 +43,16 @@ def current_customers(spark: SparkSession, cfg: Config) -> DataFrame:
     return gold.dim_customer(scd2.current_version(spark, history_path(cfg)))
 
 
-def build_silver(spark: SparkSession, cfg: Config, months: Sequence[str] | None = None) -> None:
-    """Types what is new, then rebuilds the enriched transactions, whose flags look at all rows.
-
-    With ``months`` (``yyyy-MM``) only those months are rewritten; their flags still use the
-    outlier threshold of the whole table.
-    """
+def build_silver(spark: SparkSession, cfg: Config) -> list[str | None] | None:
+    """Types what is new and brings the enriched transactions up to date; returns the months written again, None for all."""
     for spec in cfg.specs:
         refine(spark, spec, cfg)
     build_history(spark, cfg)
-    enriched = silver.enrich_transactions(
+    return enriched.refresh(
         read_silver(spark, cfg, "transactions"),
         current_customers(spark, cfg),
         latest_rows(read_silver(spark, cfg, "merchants"), "merchant_id"),
-    ).withColumn("txn_month", F.date_format("txn_date", "yyyy-MM"))
-    if months is not None:
-        enriched = enriched.where(F.col("txn_month").isin(list(months)))
-    # Months become directories; rebalancing splits a month that is too big for one task.
-    (enriched.hint("rebalance", "txn_month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if months is None else "dynamic")
-     .partitionBy("txn_month").parquet(silver_path(cfg, "transactions_enriched")))
+        silver_path(cfg, "transactions_enriched"), f"{cfg.lake_root}/checkpoints/transactions_enriched", LOAD)
 
 
 def build_flags(spark: SparkSession, cfg: Config) -> None:

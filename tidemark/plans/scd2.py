@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, has_heavy_key, with_neighbor
+from tidemark.storage import remove
 
 
 def scd2(
@@ -83,14 +84,6 @@ def current_version(spark: SparkSession, path: str) -> DataFrame:
     return read_buckets(spark, path, "state", _manifest(spark, path, newest_version(spark, path)))
 
 
-def _remove(spark: SparkSession, names: Iterable[str]) -> None:
-    """Removes directories; those that are gone already don't matter."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in names:
-        place = jvm.org.apache.hadoop.fs.Path(name)
-        place.getFileSystem(conf).delete(place, True)
-
-
 def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str, tie: str | None = None, buckets: int = BUCKETS):
     """A ``foreachBatch`` function that maintains the dimension below ``path``.
 
@@ -130,12 +123,12 @@ def merge_batch(path: str, key: str, attrs: Sequence[str], ts: str, tie: str | N
                 state = scd2(news, key, attrs, ts, tie)
             save(state, "state", batch_id)
         # Replaced by the last batch, so used by states before it only.
-        _remove(spark, [f"{path}/{what}/version={v}/bucket={b}" for b, v in expired.items() for what in ("log", "state")])
+        remove(spark, [f"{path}/{what}/version={v}/bucket={b}" for b, v in expired.items() for what in ("log", "state")])
         named = written | dict.fromkeys(touched, batch_id)
         replaced = [(b, written[b], True) for b in touched if b in written]
         rows = [(b, v, False) for b, v in named.items()] + replaced
         spark.createDataFrame(rows, "bucket int, written long, replaced boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/version={batch_id}")
         spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
-        _remove(spark, [f"{path}/manifest/version={batch_id - 2}"] if batch_id > 1 else [])
+        remove(spark, [f"{path}/manifest/version={batch_id - 2}"] if batch_id > 1 else [])
 
     return apply

@@ -27,6 +27,11 @@ REQUIRED: dict[str, tuple[str, ...]] = {
 }
 
 
+# What transactions take from their customer and merchant.
+CUSTOMER_FACTS = ("segment", "risk_band", "kyc_status", "signup_date")
+MERCHANT_FACTS = ("merchant_name", "category", "merchant_risk_score")
+
+
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Casts the named columns; unparsable text becomes null. Audit columns ride along."""
     return df.select(*[safe_cast(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
@@ -88,19 +93,25 @@ def flag_signup_suspect(customers: DataFrame, transactions: DataFrame) -> DataFr
     ).drop("_key", "_first")
 
 
-def enrich_transactions(transactions: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
+def enrich_transactions(
+    transactions: DataFrame, customers: DataFrame, merchants: DataFrame, threshold: Column | None = None,
+) -> DataFrame:
     """Transactions with customer and merchant attributes and all row-level flags; no row is lost.
 
+    ``threshold`` is the amount above which a row is an outlier; by default that of these rows.
+
     Dimensions are joined without hints: Spark broadcasts them while they are below its size
     limit and falls back to a shuffle join, split where keys are heavy, beyond it. Merchant codes
     repeat among merchants, so that relation only answers whether a code exists.
     """
     c = customers.select(
-        F.col("customer_id").alias("_cust"), "segment", "risk_band", "kyc_status", "signup_date")
-    m = merchants.select(F.col("merchant_id").alias("_merch"), "merchant_name", "category", "merchant_risk_score")
+        F.col("customer_id").alias("_cust"), *CUSTOMER_FACTS)
+    m = merchants.select(F.col("merchant_id").alias("_merch"), *MERCHANT_FACTS)
     codes = merchants.select(F.col("mcc_code").alias("_code")).where(F.col("_code").isNotNull()).distinct()
+    flagged = flag_outliers(transactions, "amount") if threshold is None else transactions.withColumn(
+        "is_amount_outlier", F.coalesce(F.col("amount").try_cast("double") > threshold, F.lit(False)))
     joined = (
-        flag_outliers(transactions, "amount")
+        flagged
         .join(c, F.col("customer_id") == F.col("_cust"), "left")
         .join(m, F.col("merchant_id") == F.col("_merch"), "left")
         .join(codes, F.col("mcc_code") == F.col("_code"), "left")
