@@ -108,6 +108,33 @@ def test_json_rescue(spark, cfg):
     assert got["s4"]._rescued_data is None
 
 
+def files_read(df):
+    """Files that the scan of a plan without shuffles has opened."""
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numFiles").value()
+
+
+def test_sessions_lie_by_the_day_of_their_event(spark, cfg):
+    """Rows of several days in one drop, late ones and one without a time: a day is one directory, raw and typed."""
+    from tidemark.streaming.refine import read_silver, refine
+    spec = spec_of(cfg, "device_session_logs")
+
+    def session(i, day):
+        return json.dumps({**SESSION, "session_id": f"s{i}", "event_timestamp": f"{day}T10:00:00"})
+    put(f"{spec.source}/2026/07/a.json", *[session(i, f"2026-07-0{1 + i % 3}") for i in range(9)], "{broken")
+    ingest.ingest(spark, spec, cfg, "r1")
+    put(f"{spec.source}/2026/07/b.json", session(9, "2026-07-01"), session(10, "2026-07-09"))
+    ingest.ingest(spark, spec, cfg, "r2")
+    refine(spark, spec, cfg)
+    for table, directories in ((raw(spark, cfg, "device_session_logs"), 2), (read_silver(spark, cfg, "device_session_logs"), 1)):
+        day = table.where("_event_date = DATE'2026-07-01'").select("session_id", "event_timestamp")
+        assert sorted(r.session_id for r in day.collect()) == ["s0", "s3", "s6", "s9"]
+        whole = files_read(table.select("session_id"))
+        assert files_read(day) <= directories < whole
+    assert raw(spark, cfg, "device_session_logs").where("_event_date IS NULL").count() == 1
+
+
 def test_all_datasets_in_order_and_one_failure_does_not_stop_the_rest(spark, cfg):
     put(f"{cfg.landing_root}/customers/full_load/a.csv", "customer_id,full_name", "c1,Ann")
     put(f"{cfg.landing_root}/transactions/2026/07/a.csv", HEADER, txn(1))

@@ -56,6 +56,8 @@ class IngestSpec:
     table: str
     schema: T.StructType | None = None
     month_from_path: bool = False
+    #: Column whose day the raw and typed tables are laid out by.
+    day_from: str | None = None
 
 
 @dataclass(frozen=True)
@@ -94,7 +96,7 @@ def default_specs(landing_root: str) -> tuple[IngestSpec, ...]:
         IngestSpec("transactions", "csv", f"{landing_root}/transactions",
                    "bronze_transactions_raw", TRANSACTIONS_SCHEMA, month_from_path=True),
         IngestSpec("device_session_logs", "json", f"{landing_root}/device_session_logs",
-                   "bronze_device_session_logs_raw", DEVICE_LOGS_SCHEMA),
+                   "bronze_device_session_logs_raw", DEVICE_LOGS_SCHEMA, day_from="event_timestamp"),
     )
 
 

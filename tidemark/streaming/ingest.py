@@ -15,6 +15,7 @@ from tidemark.streaming.schemas import load_or_create_schema
 
 BATCH = "_batch_id"
 PARTITION_MONTH = "_partition_date"
+EVENT_DAY = "_event_date"
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -36,7 +37,12 @@ def add_audit_cols(df: DataFrame, run_id: str, path: str | None = None) -> DataF
 
 def _finish(df: DataFrame, spec: IngestSpec, run_id: str) -> DataFrame:
     out = add_audit_cols(df, run_id, SOURCE_FILE)
-    return out.withColumn(PARTITION_MONTH, partition_month(SOURCE_FILE)) if spec.month_from_path else out
+    if spec.month_from_path:
+        out = out.withColumn(PARTITION_MONTH, partition_month(SOURCE_FILE))
+    if spec.day_from:
+        # The day of the event, not of its delivery; null where the time does not parse.
+        out = out.withColumn(EVENT_DAY, F.try_to_timestamp(spec.day_from).cast("date"))
+    return out
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
@@ -47,7 +53,10 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[
 
 
 def ingest_json(spark: SparkSession, spec: IngestSpec, cfg: Config, run_id: str) -> None:
-    """JSON lines: one plain streaming query, no driver work per batch."""
+    """JSON lines: one plain streaming query, no driver work per batch.
+
+    With ``day_from`` rows go to the directory of their own day, late ones too.
+    """
     schema = load_or_create_schema(spark, spec, cfg.schema_path(spec))
     lines = (
         spark.readStream.format("text").option("recursiveFileLookup", True)
@@ -55,7 +64,8 @@ def ingest_json(spark: SparkSession, spec: IngestSpec, cfg: Config, run_id: str)
         .select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
     )
     rows = _finish(parse_json_rescued(lines, schema), spec, run_id)
-    start_append(rows, cfg.table_path("bronze", spec.table), cfg.checkpoint_path(spec)).awaitTermination()
+    days = (EVENT_DAY,) if spec.day_from else ()
+    start_append(rows, cfg.table_path("bronze", spec.table), cfg.checkpoint_path(spec), days).awaitTermination()
 
 
 def ingest_csv(spark: SparkSession, spec: IngestSpec, cfg: Config, run_id: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config, IngestSpec
 from tidemark.plans.silver import REQUIRED, split_quarantine, typed_with_flags
-from tidemark.streaming.ingest import PARTITION_MONTH
+from tidemark.streaming.ingest import EVENT_DAY, PARTITION_MONTH
 
 LOAD = "_load_id"
 
@@ -45,9 +45,10 @@ def refine(spark: SparkSession, spec: IngestSpec, cfg: Config) -> None:
 
     def save(df: DataFrame, name: str, batch_id: int) -> None:
         writer = df.write.mode("overwrite")
-        if PARTITION_MONTH in df.columns:
-            # Raw files hold one month each, so this adds no small files and needs no shuffle.
-            writer = writer.partitionBy(PARTITION_MONTH)
+        parts = [c for c in (PARTITION_MONTH, EVENT_DAY) if c in df.columns]
+        if parts:
+            # Raw files hold one month or day each, so this adds no small files and needs no shuffle.
+            writer = writer.partitionBy(*parts)
         writer.parquet(f"{silver_path(cfg, name)}/{LOAD}={batch_id}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
