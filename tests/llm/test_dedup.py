@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import random
 import re
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import SF
@@ -99,6 +101,68 @@ def test_near_dense_group(make_docs, monkeypatch):
     assert {r.id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
 
 
+def dense(n, alike, seed=11):
+    """n texts of 400 words, each two of which share about ``alike`` of their words, and their ids."""
+    draw = random.Random(seed)
+    keep = (2 * alike / (1 + alike)) ** 0.5
+    base = [f"w{i}" for i in range(400)]
+    return [(k, " ".join(w if draw.random() < keep else f"x{k}_{i}" for i, w in enumerate(base))) for k in range(n)]
+
+
+def counted(monkeypatch):
+    """Rows of every table that the join writes, by name."""
+    rows, plain = collections.Counter(), neardup.scratch
+
+    def scratch(df, name):
+        out = plain(df, name)
+        rows[name] += out.count()
+        return out
+    monkeypatch.setattr(neardup, "scratch", scratch)
+    return rows
+
+
+@pytest.mark.parametrize("settings", [{}, {"FEW": 0, "SIDE_ROWS": 64}, {"FEW": 0, "SMALL": 40, "SIDE_ROWS": 64}])
+def test_near_group_at_the_threshold(make_docs, monkeypatch, settings):
+    """Links and pairs just below them in one group: blocks and tiles of any size find what brute force finds."""
+    for name, value in settings.items():
+        monkeypatch.setattr(neardup, name, value)
+    rows = dense(120, 0.745) + [(1000 + k, t) for k, t in dense(60, 0.9, 3)] + [(2000 + k, f"alone {k} {k * k}") for k in range(40)]
+    want = brute_near(rows, 1, 80)
+    got = neardup.near_duplicates(make_docs(rows), size=1).toPandas()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
+    assert 1 < len({c for k, (_, c) in want.items() if k < 1000}) < 120
+
+
+def test_pairs_below_the_threshold_never_become_rows(make_docs, monkeypatch):
+    """1,500 texts that are alike by 0.6 to 0.79: over a million undecided pairs, but every table stays in proportion."""
+    rows = counted(monkeypatch)
+    docs = make_docs(dense(1500, 0.7))
+    got = neardup.near_duplicates(docs, size=1).toPandas()
+    assert len(got) == 1500 and got.kept.mean() > 0.9
+    assert rows["neardup-tiles"] > 0 and max(rows.values()) < 30 * 1500
+
+
+def test_repeated_rows_are_compared_once(make_docs, monkeypatch):
+    """Two near texts, 300 rows each: one pair, two texts."""
+    rows = counted(monkeypatch)
+    words = [f"w{i}" for i in range(100)]
+    docs = [(1, " ".join(words))] * 300 + [(2, " ".join([*words, "end"]))] * 300
+    got = neardup.near_duplicates(make_docs(docs), size=2).toPandas()
+    assert len(got) == 600 and set(got.component_id) == {1}
+    assert rows["neardup-candidates"] == 1 and rows["neardup-texts"] == 2
+
+
+@pytest.mark.parametrize("most", [5000, 40])
+def test_shared_counts_intersections(most):
+    """Few pairs one by one, many by products."""
+    draw = np.random.default_rng(1)
+    sets = [np.unique(draw.integers(0, most, draw.integers(0, 900)).astype(np.uint64)) for _ in range(9)]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(4), np.arange(5), indexing="ij"))
+    want = [len(np.intersect1d(sets[a], sets[4 + b])) for a, b in zip(i, j)]
+    assert neardup.shared(sets[:4], sets[4:], i, j).tolist() == want
+    assert neardup.shared(sets[:4], sets[4:], i[:1], j[:1]).tolist() == want[:1]
+
+
 def test_near_odd_rows(odd_docs):
     got = neardup.near_duplicates(odd_docs).toPandas()
     assert len(got) == 16

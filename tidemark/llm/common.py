@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
+from tidemark.storage import remove
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,7 +44,15 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes scratch tables; whatever was derived from them must have been written."""
+    for t in tables:
+        remove(t.sparkSession, [t.scratch_path])
 
 
 def text_key(text: Column) -> Column:

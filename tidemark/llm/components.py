@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import scratch
+from tidemark.llm.common import discard, scratch
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -23,8 +23,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         seen = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("low"))
         move = scratch(seen.groupBy("label").agg(F.min("low").alias("to")), "cc-moves")
         if move.where("to <> label").isEmpty():
+            discard(both, move)
             return labels
         moved = scratch(labels.join(move, "label").select("node", F.least("label", "to").alias("label")), "cc-moved")
+        discard(labels, move)
         over = moved.select(F.col("node").alias("label"), F.col("label").alias("end"))
         labels = scratch(moved.join(over, "label").select("node", F.col("end").alias("label")), "cc")
+        discard(moved)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
