@@ -87,8 +87,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions as they land: all text, some of it unparsable."""
+def transactions_landed(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Transactions as they land: all text, some of it unparsable. ``extra`` names more columns of the row itself."""
     return transactions(spark, sf_dir).selectExpr(
         "CAST(transaction_id AS STRING) AS transaction_id",
         "CAST(card_id AS STRING) AS card_id",
@@ -104,6 +104,7 @@ def transactions_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN transaction_id % 107 = 0 THEN 'maybe' ELSE CAST(is_fraud_flag AS STRING) END AS is_fraud_flag",
         "CASE WHEN transaction_id % 103 = 0 THEN '2001-02-30'"
         " ELSE date_format(txn_timestamp, 'yyyy-MM-dd') END AS txn_date",
+        *extra,
     )
 
 

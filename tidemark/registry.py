@@ -748,13 +748,6 @@ def channel_volume_trends(spark, d):
 _RUN = "registry-run"
 
 
-def _dated(landed, spark, d):
-    """Landed text rows with the time by which their files are laid out."""
-    when = roles.transactions(spark, d).select(
-        F.col("transaction_id").cast("string").alias("transaction_id"), F.col("txn_timestamp").alias("_at"))
-    return landed.join(when, "transaction_id")
-
-
 def _land(spark, d, root, names):
     """Datasets as landing files."""
     if "customers" in names:
@@ -762,7 +755,8 @@ def _land(spark, d, root, names):
     if "merchants" in names:
         landing.write_csv(roles.merchants_landed(spark, d), f"{root}/merchants/full_load")
     if "transactions" in names:
-        txns = _dated(roles.transactions_landed(spark, d), spark, d).withColumnRenamed("txn_date", "_txn_date")
+        # Every row brings the time by which its file is laid out: the landed text may not be one.
+        txns = roles.transactions_landed(spark, d, "txn_timestamp AS _at").withColumnRenamed("txn_date", "_txn_date")
         (calendar.with_calendar(txns, "_at").drop("txn_date", "_at").withColumnRenamed("_txn_date", "txn_date")
          .hint("rebalance", "txn_year", "txn_month").write.option("header", True)
          .partitionBy("txn_year", "txn_month").csv(f"{root}/transactions"))

@@ -35,10 +35,24 @@ def add_audit_cols(df: DataFrame, run_id: str, path: str | None = None) -> DataF
     })
 
 
-def _finish(df: DataFrame, spec: IngestSpec, run_id: str) -> DataFrame:
+def _with_month(df: DataFrame, paths: list[str]) -> DataFrame:
+    """Adds the month that the path of a row's file stands for, worked out once per file of the batch.
+
+    A row whose file is named differently in the list has its own path looked at.
+    """
+    files = df.sparkSession.createDataFrame([(p,) for p in paths], "_path string")
+    months = files.select("_path", partition_month("_path").alias("_month"))
+    return (
+        df.join(F.broadcast(months), F.col(SOURCE_FILE) == F.col("_path"), "left")
+        .withColumn(PARTITION_MONTH, F.when(F.col("_path").isNotNull(), F.col("_month")).otherwise(partition_month(SOURCE_FILE)))
+        .drop("_path", "_month")
+    )
+
+
+def _finish(df: DataFrame, spec: IngestSpec, run_id: str, paths: list[str] | None = None) -> DataFrame:
     out = add_audit_cols(df, run_id, SOURCE_FILE)
     if spec.month_from_path:
-        out = out.withColumn(PARTITION_MONTH, partition_month(SOURCE_FILE))
+        out = _with_month(out, paths) if paths else out.withColumn(PARTITION_MONTH, partition_month(SOURCE_FILE))
     if spec.day_from:
         # The day of the event, not of its delivery; null where the time does not parse.
         out = out.withColumn(EVENT_DAY, F.try_to_timestamp(spec.day_from).cast("date"))
@@ -87,7 +101,7 @@ def ingest_csv(spark: SparkSession, spec: IngestSpec, cfg: Config, run_id: str)
         paths = sorted(row.path for row in batch.collect())
         if not paths:
             return
-        rows = _finish(read_csv_rescued(batch.sparkSession, paths, schema), spec, run_id)
+        rows = _finish(read_csv_rescued(batch.sparkSession, paths, schema), spec, run_id, paths)
         writer = rows.write.mode("overwrite")
         if spec.month_from_path:
             writer = writer.partitionBy(PARTITION_MONTH)

@@ -114,26 +114,51 @@ def _lost_entries(raw: Column, typed: Column, fields: list[T.StructField]) -> Co
     return F.when(F.size(kept) > 0, kept)
 
 
+def _present(typed: Column, fields: list[T.StructField]) -> Column:
+    """How many fields of a struct hold a value."""
+    return reduce(Column.__add__, [F.when(typed[f.name].isNotNull(), 1).otherwise(0) for f in fields])
+
+
+def _carries_all(typed: Column, whole: Column, schema: T.StructType) -> Column:
+    """Whether the typed struct holds every entry of the variant of its line; null where that can't be told.
+
+    A field has a value only if the line has an entry of its name, and a variant repeats no name, so
+    equal numbers of both leave no entry over. Entries that are null count too: such lines are looked at
+    entry by entry.
+    """
+    def entries(path: str) -> Column:
+        return F.size(F.try_variant_get(whole, path, "map<string,variant>"))
+
+    structs = [f for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    if any(not f.name or set(f.name) & set("'\"") for f in structs):
+        return F.lit(False)  # no path names such a field
+    inner = [typed[f.name].isNull() | (entries(f"$['{f.name}']") == _present(typed[f.name], f.dataType.fields))
+             for f in structs]
+    return reduce(Column.__and__, [entries("$") == _present(typed, schema.fields), *inner])
+
+
 def parse_json_rescued(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Typed columns from JSON lines; malformed lines, unknown keys and values of a wrong type rescued.
 
     ``_rescued_data`` is a JSON object with what was lost at the top level under ``$`` and inside
-    each struct under its name.
+    each struct under its name. Only lines that lost something, or hold a null, are taken apart for it.
     """
-    text = F.col(value)
+    text, typed = F.col(value), F.col("_typed")
     parsed = lines.where(F.trim(text) != "").withColumns({
         "_typed": F.from_json(text, schema),
-        "_raw": F.from_json(text, T.MapType(T.StringType(), T.StringType())),
-        "_valid": F.try_parse_json(text).isNotNull(),
+        "_whole": F.try_parse_json(text),
     })
-    losses = [_lost_entries(F.col("_raw"), F.col("_typed"), schema.fields).alias("$")]
+    # Expressions, not columns: they are worked out only in the branch that asks for them.
+    raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    losses = [_lost_entries(raw, typed, schema.fields).alias("$")]
     for f in schema.fields:
         if isinstance(f.dataType, T.StructType):
-            inner = F.from_json(F.element_at("_raw", f.name), T.MapType(T.StringType(), T.StringType()))
-            losses.append(_lost_entries(inner, F.col("_typed")[f.name], f.dataType.fields).alias(f.name))
+            inner = F.from_json(F.element_at(raw, f.name), T.MapType(T.StringType(), T.StringType()))
+            losses.append(_lost_entries(inner, typed[f.name], f.dataType.fields).alias(f.name))
     packed = F.to_json(F.struct(*losses))
     rescued = (
-        F.when(~F.col("_valid") | F.col("_raw").isNull(), F.to_json(F.struct(text.alias(_CORRUPT))))
+        F.when(_carries_all(typed, F.col("_whole"), schema), F.lit(None).cast("string"))
+        .when(F.col("_whole").isNull() | raw.isNull(), F.to_json(F.struct(text.alias(_CORRUPT))))
         .when(packed != "{}", packed)
     )
     others = [c for c in lines.columns if c != value]
