@@ -93,3 +93,14 @@ def test_windows_are_bounded_whatever_the_values(spark, monkeypatch):
     got = [r.value for r in exact_quantiles(df, "x", ["0.5"]).collect()]
     assert got == [1 + 4_999_999 * 1e-12]
     assert len(widths) == 3 and max(widths) <= 65_536
+
+
+def test_later_passes_look_at_one_part_only(spark):
+    """Images are worked out for all rows once; a later pass picks its rows by comparing plain values."""
+    rows = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x")
+    targets = spark.createDataFrame([(0.5, 1, 512.0, 543.0, 0, 1000)], "p double, rank bigint, lo double, hi double, below bigint, total bigint")
+    out = quantiles.histogram(rows, targets, 32)
+    assert out.agg(F.sum("n"), F.min("lo"), F.max("hi")).first() == (32, 512.0, 543.0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    below = plan[plan.index("join "):]
+    assert "log2" in plan and "log2" not in below and "pow" not in below
