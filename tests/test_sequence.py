@@ -142,3 +142,18 @@ def test_without_heavy_keys_only_the_window_remains(spark):
     out.collect()
     final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "Window [lag" in final and "Join" not in final
+
+
+def test_only_sampled_rows_are_asked_whether_they_count(spark):
+    """The sample comes first: a costly condition is evaluated for one row in so many."""
+    from pyspark.sql import functions as F
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counts(x):
+        asked.add(1)
+        return x % 2 == 0
+    df = spark.range(0, 20_000, 1, 4).selectExpr("1 AS k", "id")
+    assert has_heavy_key(df, "k", ["id"], SkewPolicy(heavy_rows=5_000, sample_every=16), counts("id"))
+    assert 0 < asked.value < 2_500
+    assert not has_heavy_key(df, "k", ["id"], SkewPolicy(heavy_rows=5_000, sample_every=16), F.col("id") % 16 == 0)

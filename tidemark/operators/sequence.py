@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -34,9 +34,16 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def has_heavy_key(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY) -> bool:
-    """Whether a hash sample shows a key with more than ``heavy_rows`` rows. Runs one narrow job."""
+def has_heavy_key(
+    df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY, of: Column | None = None,
+) -> bool:
+    """Whether a hash sample shows a key with more than ``heavy_rows`` rows. Runs one narrow job.
+
+    ``of`` says which rows count; only rows of the sample are asked.
+    """
     sampled = df.where(f"pmod(xxhash64({', '.join([key, *order])}), {policy.sample_every}) = 0")
+    if of is not None:
+        sampled = sampled.where(of)
     counted = sampled.groupBy(key).agg(F.count(F.lit(1)).alias("seen"))
     return not counted.where(F.col("seen") * policy.sample_every > policy.heavy_rows).isEmpty()
 

@@ -4,26 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import LOW_ACCURACY_M, MAX_SPEED_KMH
 from tidemark.functions.casts import count_when
 from tidemark.functions.geo import elapsed_hours, haversine_km
 from tidemark.operators.quantiles import quantile
-from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, with_neighbor
+from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, has_heavy_key, with_neighbor
 from tidemark.session import scratch_path
 
 
 def with_speed(
     fixes: DataFrame, key: str, ts: str, row_id: str, lat: str, lng: str,
-    prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY,
+    prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY, of: Column | None = None,
 ) -> DataFrame:
     """Every fix with its predecessor in struct ``prev`` and dist_km, time_hours, speed_kmh.
 
     The three measures are null for the first fix of a key. Rows are ordered by time, then id.
+    ``of`` leaves out rows that are no fixes.
     """
-    chained = with_neighbor(fixes, key, [ts, row_id], [ts, lat, lng, *prev_cols], "prev", policy=policy)
+    order = [ts, row_id]
+    heavy = has_heavy_key(fixes, key, order, policy, of)
+    fixes = fixes if of is None else fixes.where(of)
+    chained = with_neighbor(fixes, key, order, [ts, lat, lng, *prev_cols], "prev", policy=policy, heavy=heavy)
     measured = chained.withColumn(
         "dist_km", haversine_km(F.col(f"prev.{lat}"), F.col(f"prev.{lng}"), F.col(lat), F.col(lng)),
     ).withColumn(
@@ -36,8 +40,8 @@ def velocity_pairs(
     prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Consecutive pairs of located rows; rows without coordinates are skipped first."""
-    located = df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull())
-    return with_speed(located, key, ts, row_id, lat, lng, prev_cols, policy).where(F.col("prev").isNotNull())
+    located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
+    return with_speed(df, key, ts, row_id, lat, lng, prev_cols, policy, located).where(F.col("prev").isNotNull())
 
 
 def impossible(pairs: DataFrame, max_kmh: float = MAX_SPEED_KMH) -> DataFrame:
@@ -81,7 +85,7 @@ def flag_geo(
 ) -> DataFrame:
     """All rows with three flags. Rows without coordinates are kept and never anomalous."""
     located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
-    timed = with_speed(df.where(located), key, ts, row_id, lat, lng, policy=policy).drop(
+    timed = with_speed(df, key, ts, row_id, lat, lng, policy=policy, of=located).drop(
         "prev", "dist_km", "time_hours")
     return _flags(timed, max_kmh, low_accuracy_m, accuracy).unionByName(
         without_travel(df.where(~located), accuracy, max_kmh, low_accuracy_m))
