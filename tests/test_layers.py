@@ -314,3 +314,8 @@ def test_scorecard_computes_its_row_counts(spark):
     assert got[("total_rows", "transactions")] == 2 and got[("distinct_pk", "customers")] == 1
     assert got[("rows_per_value", "transactions.card_id")] == 2.0
     assert {r.section for r in card.collect()} == {1, 2, 3, 4, 5, 6, 7}
+
+
+def test_scorecard_moves_no_row_once_per_column(spark):
+    card = scorecard.scorecard(tables(spark), F.lit("2024-06-01").cast("date"))
+    assert "Expand" not in card._jdf.queryExecution().optimizedPlan().toString()

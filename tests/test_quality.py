@@ -88,6 +88,16 @@ def test_cardinality_counts_null_once(spark):
     assert (nothing.distinct_values, nothing.rows_per_value) == (0, 0.0)
 
 
+def test_cardinality_counts_each_column_by_itself(spark):
+    """Distinct counts of several columns in one aggregate would move every row once per column."""
+    df = spark.createDataFrame([(1, "a", 0.0), (2, "a", -0.0), (3, None, float("nan")), (4, None, float("nan")), (5, "b", None)],
+                               "i int, s string, x double")
+    out = profile.cardinality(df, ["i", "s", "x"])
+    assert [tuple(r) for r in out.collect()] == [("i", 5, 5, 1.0), ("s", 5, 3, 1.67), ("x", 5, 3, 1.67)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Aggregate [i" in plan
+
+
 # ---- integrity -------------------------------------------------------------------------------
 
 def test_integrity_with_null_keys_hot_key_and_repeated_parent(spark):
@@ -102,6 +112,24 @@ def test_integrity_with_null_keys_hot_key_and_repeated_parent(spark):
     assert (none.non_null_rows, none.orphan_pct, none.status) == (0, 0.0, "PASS")
 
 
+def test_checks_of_one_key_share_its_counts(spark):
+    """Cardinality and every relation of a key need the same counts: the child's keys are read once."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def key(x):
+        read.add(1)
+        return None if x % 10 == 0 else x % 7
+    child = spark.range(0, 1000, 1, 2).select(key("id").alias("k"))
+    tables = {"c": child, "p": spark.range(3).toDF("k"), "q": spark.range(9).toDF("k")}
+    ri = integrity.integrity_checks(tables, [ForeignKey("c", "k", "p", "k"), ForeignKey("c", "k", "q", "k")])
+    both = profile.cardinality(child, ["k"]).select("total_rows", "distinct_values").unionByName(
+        ri.selectExpr("non_null_rows AS total_rows", "orphan_rows AS distinct_values"))
+    orphans = sum(1 for x in range(1000) if x % 10 and x % 7 >= 3)
+    assert [tuple(r) for r in both.collect()] == [(1000, 8), (900, orphans), (900, 0)]
+    assert read.value == 1000
+
+
 def test_integrity_of_all_relations(spark):
     tables = {"a": spark.createDataFrame([(1,), (5,)], "x int"), "b": spark.createDataFrame([(1,)], "y int")}
     got = integrity.integrity_checks(tables, [ForeignKey("a", "x", "b", "y"), ForeignKey("b", "y", "a", "x")])
@@ -252,6 +280,22 @@ def fixes(spark):
     ], FIX)
 
 
+def test_coordinates_are_worked_out_once_per_row(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def lat(x):
+        asked.add(1)
+        return None if x % 5 == 0 else float(x % 90)
+    df = spark.range(0, 1000, 1, 2).select(
+        F.col("id"), (F.col("id") % 4).alias("k"), F.timestamp_seconds("id").alias("t"),
+        lat("id").alias("lat"), F.lit(0.0).alias("lng"))
+    pairs = velocity.velocity_pairs(df, "k", "t", "id", "lat", "lng")
+    assert pairs.columns == ["id", "k", "t", "lat", "lng", "prev", "dist_km", "time_hours", "speed_kmh"]
+    assert pairs.agg(F.count("prev")).first()[0] == 796
+    assert 1000 <= asked.value <= 1020
+
+
 @pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(1, 1, 1)])
 def test_velocity_pairs(spark, policy):
     pairs = velocity.velocity_pairs(fixes(spark), "k", "t", "id", "lat", "lng", ["acc"], policy)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,19 +144,18 @@ def validate_casts(df: DataFrame, checks: Sequence[tuple[str, str]], fmts: Mappi
 
 
 def cardinality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column_name, total_rows, distinct_values, rows_per_value); null counts as one value."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
-        *[F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0)).alias(f"n{i}")
-          for i, c in enumerate(cols)],
-    )
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col("total_rows"),
-                 (F.col(f"d{i}") + F.col(f"n{i}")).alias("distinct_values"))
-        for i, c in enumerate(cols)
-    ]
-    return counted.select(F.inline(F.array(*rows))).select(
+    """(column_name, total_rows, distinct_values, rows_per_value); null counts as one value.
+
+    Every column is counted per value on its own. Distinct counts of several columns in one aggregate
+    would move each row once per column, with all columns as its key.
+    """
+    parts = []
+    for c in cols:
+        per_value = df.groupBy(F.col(c).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_value.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count(F.lit(1)).alias("distinct_values"),
+        ).select(F.lit(c).alias("column_name"), "total_rows", "distinct_values"))
+    return reduce(DataFrame.unionByName, parts).select(
         "*",
         F.when(F.col("distinct_values") > 0, F.round(F.col("total_rows") / F.col("distinct_values"), 2))
         .otherwise(F.lit(0.0)).alias("rows_per_value"),

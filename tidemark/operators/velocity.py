@@ -15,19 +15,33 @@ from tidemark.operators.sequence import DEFAULT_POLICY, SkewPolicy, has_heavy_ke
 from tidemark.session import scratch_path
 
 
+def _located(lat: str, lng: str) -> Column:
+    return F.col(lat).isNotNull() & F.col(lng).isNotNull()
+
+
+def _fixes(df: DataFrame, lat: str, lng: str) -> DataFrame:
+    """The located rows, by way of an array with one fix or none.
+
+    Spark moves a filter below the projection that works out the coordinates, where each condition
+    works them out again. Below an array it can't: they are worked out once per row.
+    """
+    fix = F.when(_located(lat, lng), F.array(F.struct(F.col(lat).alias(lat), F.col(lng).alias(lng))))
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (lat, lng)]
+    return df.select(*rest, F.inline(fix)).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def with_speed(
-    fixes: DataFrame, key: str, ts: str, row_id: str, lat: str, lng: str,
-    prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY, of: Column | None = None,
+    df: DataFrame, key: str, ts: str, row_id: str, lat: str, lng: str,
+    prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Every fix with its predecessor in struct ``prev`` and dist_km, time_hours, speed_kmh.
 
-    The three measures are null for the first fix of a key. Rows are ordered by time, then id.
-    ``of`` leaves out rows that are no fixes.
+    The three measures are null for the first fix of a key. Rows are ordered by time, then id; rows
+    without coordinates are no fixes and left out.
     """
     order = [ts, row_id]
-    heavy = has_heavy_key(fixes, key, order, policy, of)
-    fixes = fixes if of is None else fixes.where(of)
-    chained = with_neighbor(fixes, key, order, [ts, lat, lng, *prev_cols], "prev", policy=policy, heavy=heavy)
+    heavy = has_heavy_key(df, key, order, policy, _located(lat, lng))
+    chained = with_neighbor(_fixes(df, lat, lng), key, order, [ts, lat, lng, *prev_cols], "prev", policy=policy, heavy=heavy)
     measured = chained.withColumn(
         "dist_km", haversine_km(F.col(f"prev.{lat}"), F.col(f"prev.{lng}"), F.col(lat), F.col(lng)),
     ).withColumn(
@@ -40,8 +54,7 @@ def velocity_pairs(
     prev_cols: Sequence[str] = (), policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Consecutive pairs of located rows; rows without coordinates are skipped first."""
-    located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
-    return with_speed(df, key, ts, row_id, lat, lng, prev_cols, policy, located).where(F.col("prev").isNotNull())
+    return with_speed(df, key, ts, row_id, lat, lng, prev_cols, policy).where(F.col("prev").isNotNull())
 
 
 def impossible(pairs: DataFrame, max_kmh: float = MAX_SPEED_KMH) -> DataFrame:
@@ -84,11 +97,10 @@ def flag_geo(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """All rows with three flags. Rows without coordinates are kept and never anomalous."""
-    located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
-    timed = with_speed(df, key, ts, row_id, lat, lng, policy=policy, of=located).drop(
+    timed = with_speed(df, key, ts, row_id, lat, lng, policy=policy).drop(
         "prev", "dist_km", "time_hours")
     return _flags(timed, max_kmh, low_accuracy_m, accuracy).unionByName(
-        without_travel(df.where(~located), accuracy, max_kmh, low_accuracy_m))
+        without_travel(df.where(~_located(lat, lng)), accuracy, max_kmh, low_accuracy_m))
 
 
 def without_travel(df: DataFrame, accuracy: str, max_kmh: float = MAX_SPEED_KMH, low_accuracy_m: float = LOW_ACCURACY_M) -> DataFrame:

@@ -53,17 +53,13 @@ def scorecard(
     }
     parts = []
 
-    # 1 overview and 2 fan-out: one pass per table.
+    # 1 overview and 2 fan-out: each column counted once, in the same way as the keys of section 3.
     for name, extra in fanout.items():
-        pk = PRIMARY_KEYS[name][0]
-        counted = profile.cardinality(tables[name], [pk, *extra])
-        is_pk = F.col("column_name") == pk
-        parts.append(counted.select(F.inline(F.when(is_pk, F.array(
+        parts.append(profile.cardinality(tables[name], [PRIMARY_KEYS[name][0]]).select(F.inline(F.array(
             _entry(1, "total_rows", name, F.col("total_rows")),
-            _entry(1, "distinct_pk", name, F.col("distinct_values")),
-        )))))
+            _entry(1, "distinct_pk", name, F.col("distinct_values"))))))
         if extra:
-            parts.append(counted.where(~is_pk).select(
+            parts.append(profile.cardinality(tables[name], extra).select(
                 F.lit(2).alias("section"), F.lit("rows_per_value").alias("check_name"),
                 F.concat(F.lit(f"{name}."), F.col("column_name")).alias("subject"),
                 F.col("rows_per_value").alias("value"),
